@@ -165,19 +165,19 @@ def integrated_view(feeds: Feeds) -> DataFrame:
     ).agg(F.count("*").alias("code_copies"))
     base = salted_join(base, codes, ["code"], ["pma_number", "k_number"], "left").drop("code")
 
-    # A recall row names a device once, however often and by whichever of the two numbers.
+    # A recall row counts once for a pair: one that names both numbers is kept under the approval's.
     rows = feeds.recall.groupBy("k_numbers", F.struct(*RECALL_COLUMNS).alias("recall")).agg(
         F.count("*").alias("recall_copies")
     )
     named = rows.withColumn("number", F.explode(F.array_distinct("k_numbers"))).filter(F.col("number").isNotNull())
     keys = base.columns
     numbers = F.array_distinct(F.array_compact(F.array("pma_number", "k_number")))
+    again = (F.col("number") != F.col("pma_number")) & F.array_contains("k_numbers", F.col("pma_number"))
     recalled = (
         base.filter("recalled")
         .withColumn("number", F.explode(numbers))
         .join(named, "number")
-        .drop("number")
-        .distinct()
+        .filter(~F.coalesce(again, F.lit(False)))
         .groupBy(*keys, "recall")
         .agg(F.sum("recall_copies").alias("recall_copies"))
         .select(*keys, "recall_copies", "recall.*")
@@ -200,7 +200,7 @@ def _shared_counts(sets: DataFrame, p: DataFrame, k: DataFrame, kinds: tuple[str
     left = salted_join(sets, side(p, "pma_number"), ["number"], ["x"]).withColumnRenamed("number", "pma_number")
     right = salted_join(sets, side(k, "k_number"), ["number"], ["x"]).withColumnRenamed("number", "k_number")
     return (
-        left.join(right, ["code", "kind", "x"])
+        left.join(right, ["x", "code", "kind"])
         .groupBy("code", "pma_number", "k_number")
         .agg(*[F.count(F.when(F.col("kind") == kind, 1)).alias(f"both_{kind}") for kind in kinds])
     )

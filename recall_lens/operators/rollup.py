@@ -131,7 +131,7 @@ def _shared_terms(devices: DataFrame, sets: DataFrame, tuples: DataFrame) -> Dat
     """What `_sum_over_pairs` counts twice, per approval (number, code) and kind of set.
 
     Three sums: events shared with a clearance, recalls shared with a clearance, and, added back, pairs that share
-    both an event and a recall.
+    both an event and a recall. The shared value leads the join keys: it tells rows apart soonest when they are sorted.
     """
     numbered = devices.filter(F.col("number").isNotNull() & F.col("code").isNotNull())
     paired = numbered.groupBy("code").agg(F.countDistinct("role").alias("n")).filter("n = 2").select("code")
@@ -144,7 +144,7 @@ def _shared_terms(devices: DataFrame, sets: DataFrame, tuples: DataFrame) -> Dat
 
     k_sets = (
         salted_join(sets, k, ["number"], ["x"])
-        .groupBy("code", "kind", "x")
+        .groupBy("x", "code", "kind")
         .agg(
             F.sum(n).alias("k"),
             F.sum(n * r).alias("k_recall"),
@@ -153,7 +153,7 @@ def _shared_terms(devices: DataFrame, sets: DataFrame, tuples: DataFrame) -> Dat
     )
     p_sets = salted_join(sets, p.select("number", "code", "n_recall"), ["number"], ["x"])
     events = (
-        p_sets.join(k_sets, ["code", "kind", "x"])
+        p_sets.join(k_sets, ["x", "code", "kind"])
         .groupBy("number", "code", "kind")
         .agg(F.sum(-F.when(r > 0, r * F.col("k") + F.col("k_recall")).otherwise(F.col("k_rows"))).alias("term"))
     )
@@ -182,12 +182,12 @@ def _shared_terms(devices: DataFrame, sets: DataFrame, tuples: DataFrame) -> Dat
     k_keys = k_named.join(p_keys.select("code", "recall").distinct(), ["code", "recall"], "left_semi")
     k_both = (
         salted_join(sets, k_keys.select("number", "code", "recall", "copies"), ["number"], ["x"])
-        .groupBy("code", "recall", "kind", "x")
+        .groupBy("x", "code", "kind", "recall")
         .agg(F.sum(n).alias("k"))
     )
     both = (
         salted_join(sets, p_keys, ["number"], ["x"])
-        .join(k_both, ["code", "recall", "kind", "x"])
+        .join(k_both, ["x", "code", "kind", "recall"])
         .groupBy("number", "code", "kind")
         .agg(F.sum("k").alias("term"))
     )

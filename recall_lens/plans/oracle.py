@@ -436,8 +436,8 @@ ORACLE: dict[str, str] = {
         SCORED,
         COMPONENTS,
         (
-            "recurrence_raw", "root_cause_raw", "density_raw", "recency_raw", "device_class_raw", "recurrence_score",
-            "reason_severity_score", "adverse_density_score", "recency_score", "device_class_score",
+            "recurrence_score", "reason_severity_score", "adverse_density_score", "recency_score",
+            "device_class_score",
         ),
     ),
     "rpss_scores": _select(SCORED, "SELECT * FROM scored", ("rpss",)),

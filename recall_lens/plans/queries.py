@@ -14,7 +14,7 @@ from recall_lens.operators import analytics, classify, forecasting, names, publi
 from recall_lens.operators.analytics import DeviceFilter
 from recall_lens.operators.integration import integrated_view
 from recall_lens.operators.rollup import device_rollup, device_rollup_exact
-from recall_lens.operators.scoring import score_components
+from recall_lens.operators.scoring import FEATURES, score_components
 from recall_lens.operators.skew import stage
 from recall_lens.plans.refresh import score
 from recall_lens.sources.testdata import Feeds, feeds
@@ -66,7 +66,8 @@ def _on_scores(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 def rpss_components(spark: SparkSession, folder: str) -> DataFrame:
     components = score_components(device_rollup(feeds(spark, folder)))
-    return rounded(components.drop("first_event_date", "last_event_date", "root_cause_description"))
+    scores = {c: F.round(c, 6) for _, c in FEATURES}
+    return components.withColumns(scores).drop("first_event_date", "last_event_date", "root_cause_description")
 
 
 def _staged_runs(spark: SparkSession, folder: str) -> DataFrame:

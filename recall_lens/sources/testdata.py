@@ -19,8 +19,16 @@ class Feeds:
     recall: DataFrame
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+class _Tables:
+    """The test tables, each opened once."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._spark, self._folder, self._open = spark, folder, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._open:
+            self._open[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self._open[name]
 
 
 def device_number(part_key: Column) -> Column:
@@ -30,15 +38,15 @@ def device_number(part_key: Column) -> Column:
     return F.concat(letter, F.when(part_key < 1_000_000, F.lpad(digits, 6, "0")).otherwise(digits))
 
 
-def _coded_parts(spark: SparkSession, folder: str) -> DataFrame:
-    part = _table(spark, folder, "part")
+def _coded_parts(tables: _Tables) -> DataFrame:
+    part = tables["part"]
     return part.withColumn("band", F.col("p_size") % 10).withColumn(
         "code", F.concat_ws("-", "p_brand", "p_type", F.col("band").cast("string"))
     )
 
 
-def pma(spark: SparkSession, folder: str) -> DataFrame:
-    return _coded_parts(spark, folder).filter(F.col("p_partkey") % 2 != 0).select(
+def pma(tables: _Tables) -> DataFrame:
+    return _coded_parts(tables).filter(F.col("p_partkey") % 2 != 0).select(
         device_number(F.col("p_partkey")).alias("PMANUMBER"),
         F.col("p_brand").alias("APPLICANT"),
         F.col("p_name").alias("GENERICNAME"),
@@ -47,8 +55,8 @@ def pma(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def premarket_510k(spark: SparkSession, folder: str) -> DataFrame:
-    return _coded_parts(spark, folder).filter(F.col("p_partkey") % 2 == 0).select(
+def premarket_510k(tables: _Tables) -> DataFrame:
+    return _coded_parts(tables).filter(F.col("p_partkey") % 2 == 0).select(
         device_number(F.col("p_partkey")).alias("KNUMBER"),
         F.col("p_brand").alias("APPLICANT"),
         F.col("code").alias("PRODUCTCODE"),
@@ -57,13 +65,13 @@ def premarket_510k(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def product_code(spark: SparkSession, folder: str) -> DataFrame:
+def product_code(tables: _Tables) -> DataFrame:
     band = F.col("band")
     device_class = (
         F.when(band <= 2, F.lit("1")).when(band <= 5, F.lit("2")).when(band <= 7, F.lit("3")).otherwise(F.lit("U"))
     )
     return (
-        _coded_parts(spark, folder)
+        _coded_parts(tables)
         .filter(band != 9)
         .groupBy("code", "p_type", "band")
         .agg(F.min("p_name").alias("DEVICENAME"))
@@ -76,10 +84,10 @@ def product_code(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def maude(spark: SparkSession, folder: str) -> DataFrame:
+def maude(tables: _Tables) -> DataFrame:
     """Adverse events; the device number needs the part key only, which the line carries."""
-    line = _table(spark, folder, "lineitem")
-    supplier = _table(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    line = tables["lineitem"]
+    supplier = tables["supplier"].select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
     yes_no = lambda hit: F.when(hit, F.lit("Y")).otherwise(F.lit("N"))
     return line.join(supplier, "l_suppkey").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("MDR_REPORT_KEY"),
@@ -92,9 +100,9 @@ def maude(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def recall(spark: SparkSession, folder: str) -> DataFrame:
-    line = _table(spark, folder, "lineitem").filter((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09))
-    orders = _table(spark, folder, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+def recall(tables: _Tables) -> DataFrame:
+    line = tables["lineitem"].filter((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09))
+    orders = tables["orders"].withColumnRenamed("o_orderkey", "l_orderkey")
     level = F.substring("o_orderpriority", 1, 1)
     cause = (
         F.when(level == "1", F.lit("Software design"))
@@ -114,10 +122,11 @@ def recall(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def feeds(spark: SparkSession, folder: str) -> Feeds:
+    tables = _Tables(spark, folder)
     return Feeds(
-        pma=pma(spark, folder),
-        premarket_510k=premarket_510k(spark, folder),
-        product_code=product_code(spark, folder),
-        maude=maude(spark, folder),
-        recall=recall(spark, folder),
+        pma=pma(tables),
+        premarket_510k=premarket_510k(tables),
+        product_code=product_code(tables),
+        maude=maude(tables),
+        recall=recall(tables),
     )
