@@ -149,7 +149,10 @@ def train(
     assembler = VectorAssembler(inputCols=[f"f_{c}" for c in FEATURES], outputCol="features")
     parts = stratified_split(usable, test_size)
     estimator = _estimator(model_type, trees, max(32, len(labels.labelsArray[0]) + 2))
-    model = Pipeline(stages=[labels, assembler, estimator]).fit(parts.filter(~F.col("is_test")))
+    # Bootstrap samples depend on where a row lies, so rows are placed by their key: the same data, the same trees.
+    places = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fitted = parts.filter(~F.col("is_test")).repartition(places, KEY).sortWithinPartitions(KEY)
+    model = Pipeline(stages=[labels, assembler, estimator]).fit(fitted)
     tested = model.transform(parts.filter("is_test")).select(
         KEY, LABEL, "prediction", "rawPrediction", vector_to_array("probability")[1].alias("recall_probability")
     )
