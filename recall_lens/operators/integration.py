@@ -130,8 +130,8 @@ def integrated_view(feeds: Feeds) -> DataFrame:
 
     # Full outer join on the code: pairs with the hot codes spread, then the rows of either side without a partner.
     pairs = salted_join(p, k, ["code"], ["pma_number", "pma_applicant"])
-    p_alone = p.join(k.select("code").distinct(), "code", "left_anti")
-    k_alone = k.join(p.select("code").distinct(), "code", "left_anti")
+    p_alone = salted_join(p, k.select("code").distinct(), ["code"], ["pma_number"], "left_anti")
+    k_alone = salted_join(k, p.select("code").distinct(), ["code"], ["k_number"], "left_anti")
 
     both = _shared_counts(sets, p, k, kinds)
     pairs = pairs.join(both, ["code", "pma_number", "k_number"], "left")
@@ -173,10 +173,9 @@ def integrated_view(feeds: Feeds) -> DataFrame:
     keys = base.columns
     numbers = F.array_distinct(F.array_compact(F.array("pma_number", "k_number")))
     again = (F.col("number") != F.col("pma_number")) & F.array_contains("k_numbers", F.col("pma_number"))
+    pair_numbers = base.filter("recalled").withColumn("number", F.explode(numbers))
     recalled = (
-        base.filter("recalled")
-        .withColumn("number", F.explode(numbers))
-        .join(named, "number")
+        salted_join(pair_numbers, named, ["number"], ["pma_number", "k_number"])
         .filter(~F.coalesce(again, F.lit(False)))
         .groupBy(*keys, "recall")
         .agg(F.sum("recall_copies").alias("recall_copies"))

@@ -28,14 +28,31 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_staged: list[str] = []
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage ends here and lost executors cost nothing."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/staged/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_so_far() -> int:
+    return len(_staged)
+
+
+def drop_staged(spark: SparkSession, since: int) -> None:
+    """Delete the tables staged after `since`, once the result that reads them has been written."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_staged) > since:
+        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def spread_width(spark: SparkSession) -> int:
     """Tasks to deal one key over: grows with the shuffle width; a narrow session has nothing to gain from copies."""
     return max(1, min(MAX_SPREAD, int(spark.conf.get("spark.sql.shuffle.partitions")) // 64))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from recall_lens.operators.publish import upsert_scores
 from recall_lens.operators.rollup import device_rollup, device_rollup_exact
 from recall_lens.operators.scoring import score_devices
+from recall_lens.operators.skew import drop_staged, staged_so_far
 from recall_lens.sinks.tables import write_version
 from recall_lens.sources.testdata import Feeds
 
@@ -22,5 +23,10 @@ def refresh(
     spark: SparkSession, feeds: Feeds, root: str, scored_at: dt.datetime, view: str = "device_rpss"
 ) -> DataFrame:
     """Score, merge into the newest version under `root`, write the next version, point the view at it."""
+    before = staged_so_far()
     source = score(feeds)
-    return write_version(spark, root, lambda target: upsert_scores(target, source, scored_at), source, scored_at, view)
+    published = write_version(
+        spark, root, lambda target: upsert_scores(target, source, scored_at), source, scored_at, view
+    )
+    drop_staged(spark, before)
+    return published

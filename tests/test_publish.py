@@ -2,10 +2,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from feed_rows import random_rows, spark_feeds
+from recall_lens.operators import publish, skew
 from recall_lens.operators.names import name_coverage, with_device_names
 from recall_lens.operators.publish import dedup_staging, snapshot, top_devices, upsert_scores
+from recall_lens.plans.refresh import refresh, score
 from recall_lens.sinks.files import write_csv, write_snapshot
 from recall_lens.sinks.tables import append, create_if_absent, create_or_replace, full_refresh, write_version
 from recall_lens.schemas import DEVICE_RPSS
@@ -107,6 +111,28 @@ def test_name_lookup_falls_back_to_key(spark):
     assert {r["PMA_PMN_NUM"]: r["device_name"] for r in named.collect()} == {"a": "Pump", "b": "b"}
 
 
+def test_large_top_equals_sorted_limit(spark, monkeypatch):
+    monkeypatch.setattr(publish, "MANY_ROWS", 1)
+    rows = [row(f"k{i:04d}", None if i % 50 == 0 else (i * 37 % 400) / 400) for i in range(1200)]
+    scored = spark.createDataFrame(rows, STAGED)
+    order = sorted(rows, key=lambda r: (r[6] is None, -(r[6] or 0), r[0]))
+    for n in (1, 7, 600, 1190, 5000):
+        assert [r["PMA_PMN_NUM"] for r in top_devices(scored, n).collect()] == [r[0] for r in order[:n]]
+
+
+def test_refresh_publishes_and_leaves_no_staged_tables(spark, tmp_path):
+    feeds = spark_feeds(spark, random_rows(11))
+    root = str(tmp_path / "published")
+    first = refresh(spark, feeds, root, OLD)
+    expected = {r["PMA_PMN_NUM"]: r["rpss"] for r in score(feeds).collect()}
+    assert {r["PMA_PMN_NUM"]: r["rpss"] for r in first.collect()} == pytest.approx(expected)
+    before = skew.staged_so_far()
+    second = refresh(spark, feeds, root, NEW, view="device_rpss_again")
+    assert skew.staged_so_far() == before
+    assert {r["last_scored"] for r in second.collect()} == {NEW}
+    assert spark.table("device_rpss_again").count() == len(expected)
+
+
 def test_top_devices_breaks_ties_by_number(spark):
     scored = spark.createDataFrame([row("b", 0.5), row("a", 0.5), row("c", None), row("d", 0.9)], STAGED)
     assert [r["PMA_PMN_NUM"] for r in top_devices(scored, 3).collect()] == ["d", "a", "b"]
