@@ -14,19 +14,17 @@ NA_TOKENS = (
     "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Date layouts met in the feeds, tried in this order.
-DATE_FORMATS = (
-    "yyyy-MM-dd",
-    "yyyy/MM/dd",
-    "MM/dd/yyyy",
-    "M/d/yyyy",
-    "yyyyMMdd",
-    "dd-MMM-yyyy",
-    "MMM d, yyyy",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "MM/dd/yyyy HH:mm:ss",
+# Shapes of the dates met in the feeds and how each is read. A text is parsed only by the layout of its own shape:
+# a failed parse costs far more than a failed match.
+DATE_SHAPES = (
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
 )
+TIME_OF_DAY = r"[ T]\d{1,2}:\d{2}.*$"
 
 # Blanks stripped from both ends of a text value.
 BLANKS = " \t\n\r\x0b\x0c"
@@ -42,10 +40,11 @@ def clean_text(c: Column, na_tokens: Iterable[str] = NA_TOKENS) -> Column:
     return F.when(c.isin(tokens), F.lit(None)).otherwise(F.nullif(strip(c), F.lit("")))
 
 
-def clean_date(c: Column, formats: Iterable[str] = DATE_FORMATS) -> Column:
-    """First layout that parses wins; anything else is null."""
-    text = strip(c)
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in formats])
+def clean_date(c: Column, shapes: Iterable[tuple[str, str]] = DATE_SHAPES) -> Column:
+    """The day a text names, a time of day being dropped; text that is no date becomes null."""
+    text = F.regexp_replace(strip(c), TIME_OF_DAY, "")
+    day = lambda layout: F.to_date(F.try_to_timestamp(text, F.lit(layout)))
+    return F.coalesce(*[F.when(text.rlike(shape), day(layout)) for shape, layout in shapes])
 
 
 def to_number(c: Column) -> Column:

@@ -65,9 +65,11 @@ def _roles(feeds: Feeds) -> DataFrame:
 
 
 def device_facts(feeds: Feeds, sets: DataFrame, tuples: DataFrame) -> DataFrame:
-    """Every (role, number, code) with the figures of its number."""
+    """Every (role, number, code) with the figures of its number; `paired` marks codes that both roles carry."""
+    roles = _roles(feeds)
+    sides = roles.groupBy("code").agg((F.min("role") != F.max("role")).alias("paired"))
     return (
-        _roles(feeds)
+        salted_join(roles, sides, ["code"], ["number"], "left")
         .join(event_facts(sets), "number", "left")
         .join(recall_facts(tuples), "number", "left")
         .fillna(0, ["n_report", "n_maker", "n_recall", "n_recall_event"])
@@ -133,9 +135,7 @@ def _shared_terms(devices: DataFrame, sets: DataFrame, tuples: DataFrame) -> Dat
     Three sums: events shared with a clearance, recalls shared with a clearance, and, added back, pairs that share
     both an event and a recall. The shared value leads the join keys: it tells rows apart soonest when they are sorted.
     """
-    numbered = devices.filter(F.col("number").isNotNull() & F.col("code").isNotNull())
-    paired = numbered.groupBy("code").agg(F.countDistinct("role").alias("n")).filter("n = 2").select("code")
-    numbered = numbered.join(paired, "code", "left_semi")
+    numbered = devices.filter(F.col("number").isNotNull() & F.col("code").isNotNull() & F.col("paired"))
     columns = ["number", "code", "copies", "n_report", "n_maker", "n_recall"]
     p = numbered.filter(F.col("role") == APPROVAL).select(*columns)
     k = numbered.filter(F.col("role") == CLEARANCE).select(*columns)

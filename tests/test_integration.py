@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 
 from compare import duck_records, same_rows
@@ -34,6 +36,43 @@ def test_rollup_is_the_same_when_salted_and_repartitioned(spark, monkeypatch):
     same_rows(integrated_view(moved), duck_records(duck_feeds(rows), LITERAL_VIEW))
 
 
+def test_one_code_holding_all_devices(spark):
+    """1,500 approvals x 1,500 clearances of one code: linear work, equal to summing the 2.25 million pairs."""
+    n, one = 1500, "C1"
+    day = dt.date(2024, 1, 1)
+    rows = {
+        "pma": [(f"P{i}", "a", "g", "t", one) for i in range(n)],
+        "premarket_510k": [(f"K{i}", "a", one, "T", "d") for i in range(n)],
+        "product_code": [("s", one, "d", "2")],
+        "maude": [
+            (f"R{i % 900}", "Y", "N", day, "d", f"M{i % 7}", f"{'PK'[i % 2]}{i * i % n}") for i in range(6 * n)
+        ],
+        "recall": [
+            (f"E{i % 40}", f"E{i % 40}", [f"P{i % n}", f"K{i * 3 % n}"], day, "Open", f"w{i % 3}", "Design")
+            for i in range(n // 2)
+        ],
+    }
+    expected = duck_records(
+        duck_feeds(rows),
+        """
+        WITH e AS (SELECT PMA_PMN_NUM AS number, list_sort(list(DISTINCT MDR_REPORT_KEY)) AS x FROM maude GROUP BY ALL),
+        t AS (SELECT DISTINCT unnest(k_numbers) AS number, res_event_number || reason_for_recall AS x FROM recall),
+        r AS (SELECT number, list(x) AS x FROM t GROUP BY ALL),
+        p AS (SELECT PMANUMBER AS number, coalesce(e.x, []) AS e, coalesce(r.x, []) AS r
+              FROM pma LEFT JOIN e ON e.number = PMANUMBER LEFT JOIN r ON r.number = PMANUMBER),
+        k AS (SELECT KNUMBER AS number, coalesce(e.x, []) AS e, coalesce(r.x, []) AS r
+              FROM premarket_510k LEFT JOIN e ON e.number = KNUMBER LEFT JOIN r ON r.number = KNUMBER)
+        SELECT p.number AS PMA_PMN_NUM, CAST(sum(
+            (len(p.e) + len(k.e) - len(list_intersect(p.e, k.e)))
+            * greatest(1, len(p.r) + len(k.r) - len(list_intersect(p.r, k.r)))) AS BIGINT) AS total_adverse_events
+        FROM p, k GROUP BY ALL
+        """,
+    )
+    rollup = device_rollup(spark_feeds(spark, rows))
+    same_rows(rollup.select("PMA_PMN_NUM", "total_adverse_events"), expected)
+    assert {r["recall_count"] for r in rollup.select("recall_count").collect()} == {40}
+
+
 @pytest.mark.parametrize("seed", [7, 8])
 def test_names_equal_greatest_name_of_view(spark, seed):
     feeds = spark_feeds(spark, random_rows(seed))
