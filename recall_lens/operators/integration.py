@@ -26,6 +26,8 @@ RECALL_COLUMNS = (
 
 SET_KINDS = {"report": "MDR_REPORT_KEY", "maker": "MANUFACTURER_NAME", "distributor": "DISTRIBUTOR_NAME"}
 
+FLAGS = {"adverse": "ADVERSE_EVENT_FLAG", "problem": "PRODUCT_PROBLEM_FLAG"}
+
 VIEW_COLUMNS = (
     "PMA_PMN_NUM", "pma_number", "pma_product_code", "pma_applicant", "GENERICNAME", "TRADENAME",
     "k_number", "k_product_code", "k_applicant", "k_devicename", "k_type",
@@ -36,33 +38,45 @@ VIEW_COLUMNS = (
 )
 
 
-def observed_sets(maude: DataFrame, kinds: tuple[str, ...] = ("report", "maker")) -> DataFrame:
-    """Distinct (number, kind, value) with the event dates; shuffled by number and value, so no hot number skews it.
+def observed_sets(
+    maude: DataFrame, kinds: tuple[str, ...] = ("report", "maker"), flags: dict[str, str] | None = None
+) -> DataFrame:
+    """Distinct (number, kind, value); shuffled by number and value, so no hot number skews it.
 
-    Dates ride on the maker rows: every event has exactly one, even if its name is missing.
+    Event dates, and counts of the `flags` that say Y, ride on the maker rows: every event has exactly one, even if
+    its name is missing.
     """
     numbered = maude.filter(F.col("PMA_PMN_NUM").isNotNull()).withColumnRenamed("PMA_PMN_NUM", "number")
+    flags = flags or {}
 
     def distinct(kind: str) -> DataFrame:
-        day = F.col("DATE_OF_EVENT") if kind == "maker" else F.lit(None).cast("date")
+        values = numbered.withColumnRenamed(SET_KINDS[kind], "x")
+        if kind != "maker":
+            return values.select("number", "x").distinct().withColumn("kind", F.lit(kind))
         return (
-            numbered.select("number", F.col(SET_KINDS[kind]).alias("x"), day.alias("day"))
-            .groupBy("number", "x")
-            .agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+            values.groupBy("number", "x")
+            .agg(
+                F.min("DATE_OF_EVENT").alias("first_day"),
+                F.max("DATE_OF_EVENT").alias("last_day"),
+                *[F.count(F.when(F.col(c) == "Y", 1)).alias(name) for name, c in flags.items()],
+            )
             .withColumn("kind", F.lit(kind))
         )
 
-    return reduce(DataFrame.unionByName, [distinct(k) for k in kinds])
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [distinct(k) for k in kinds])
 
 
 def _count_kind(kind: str) -> Column:
     return F.count(F.when(F.col("kind") == kind, F.col("x")))
 
 
-def event_facts(sets: DataFrame, kinds: tuple[str, ...] = ("report", "maker")) -> DataFrame:
-    """Per device number: distinct reports, makers (and distributors), first and last event."""
+def event_facts(
+    sets: DataFrame, kinds: tuple[str, ...] = ("report", "maker"), flags: tuple[str, ...] = ()
+) -> DataFrame:
+    """Per device number: distinct values of each kind, flag counts, first and last event."""
     return sets.groupBy("number").agg(
         *[_count_kind(k).alias(f"n_{k}") for k in kinds],
+        *[F.sum(f).alias(f) for f in flags],
         F.min("first_day").alias("first_day"),
         F.max("last_day").alias("last_day"),
     )
@@ -79,15 +93,6 @@ def recall_tuples(recall: DataFrame) -> DataFrame:
     )
 
 
-def _flag_facts(maude: DataFrame) -> DataFrame:
-    yes = lambda c: F.sum(F.when(F.col(c) == "Y", 1).otherwise(0))
-    return (
-        maude.filter(F.col("PMA_PMN_NUM").isNotNull())
-        .groupBy(F.col("PMA_PMN_NUM").alias("number"))
-        .agg(yes("ADVERSE_EVENT_FLAG").alias("adverse"), yes("PRODUCT_PROBLEM_FLAG").alias("problem"))
-    )
-
-
 def _renamed(df: DataFrame, prefix: str, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*[F.col(c).alias(c if c in keep else f"{prefix}{c}") for c in df.columns])
 
@@ -100,11 +105,10 @@ def _sum_of(*cols: Column) -> Column:
 def integrated_view(feeds: Feeds) -> DataFrame:
     """One row per approval x clearance x product code x recall, with the events of either number."""
     kinds = tuple(SET_KINDS)
-    sets = stage(observed_sets(feeds.maude, kinds), "observed-sets")
+    sets = stage(observed_sets(feeds.maude, kinds, FLAGS), "observed-sets")
     tuples = recall_tuples(feeds.recall)
     facts = stage(
-        event_facts(sets, kinds)
-        .join(_flag_facts(feeds.maude), "number", "full_outer")
+        event_facts(sets, kinds, tuple(FLAGS))
         .join(tuples.groupBy("number").agg(F.count("*").alias("n_recall")), "number", "full_outer"),
         "number-facts",
     )
