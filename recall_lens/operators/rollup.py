@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recall_lens.operators.integration import event_facts, observed_sets, recall_tuples
-from recall_lens.operators.skew import salted_join, stage
+from recall_lens.operators.skew import hot_salted_join, hot_values, salted_join, stage
 from recall_lens.sources.testdata import Feeds
 
 APPROVAL, CLEARANCE = "P", "K"
@@ -140,6 +140,7 @@ def _shared_terms(devices: DataFrame, sets: DataFrame, tuples: DataFrame) -> Dat
     p = numbered.filter(F.col("role") == APPROVAL).select(*columns)
     k = numbered.filter(F.col("role") == CLEARANCE).select(*columns)
     sets = sets.filter(F.col("x").isNotNull()).select("number", "kind", "x")
+    hot = hot_values(sets, "x")
     n, r = F.col("copies"), F.col("n_recall")
 
     k_sets = (
@@ -153,7 +154,7 @@ def _shared_terms(devices: DataFrame, sets: DataFrame, tuples: DataFrame) -> Dat
     )
     p_sets = salted_join(sets, p.select("number", "code", "n_recall"), ["number"], ["x"])
     events = (
-        p_sets.join(k_sets, ["x", "code", "kind"])
+        hot_salted_join(p_sets, k_sets, ["x", "code", "kind"], hot, ["number"])
         .groupBy("number", "code", "kind")
         .agg(F.sum(-F.when(r > 0, r * F.col("k") + F.col("k_recall")).otherwise(F.col("k_rows"))).alias("term"))
     )
@@ -165,7 +166,7 @@ def _shared_terms(devices: DataFrame, sets: DataFrame, tuples: DataFrame) -> Dat
         F.sum(n * F.col("n_report")).alias("k_report"),
         F.sum(n * F.col("n_maker")).alias("k_maker"),
     )
-    p_shared = p_named.join(k_tuples, ["code", "recall"])
+    p_shared = salted_join(p_named, k_tuples, ["code", "recall"], ["number"])
     by_kind = F.inline(
         F.array(
             *[
@@ -179,15 +180,16 @@ def _shared_terms(devices: DataFrame, sets: DataFrame, tuples: DataFrame) -> Dat
     )
 
     p_keys = p_shared.select("number", "code", "recall")
-    k_keys = k_named.join(p_keys.select("code", "recall").distinct(), ["code", "recall"], "left_semi")
+    p_recalls = p_keys.select("code", "recall").distinct()
+    k_keys = salted_join(k_named, p_recalls, ["code", "recall"], ["number"], "left_semi")
     k_both = (
         salted_join(sets, k_keys.select("number", "code", "recall", "copies"), ["number"], ["x"])
         .groupBy("x", "code", "kind", "recall")
         .agg(F.sum(n).alias("k"))
     )
+    p_both = salted_join(sets, p_keys, ["number"], ["x"])
     both = (
-        salted_join(sets, p_keys, ["number"], ["x"])
-        .join(k_both, ["x", "code", "kind", "recall"])
+        hot_salted_join(p_both, k_both, ["x", "code", "kind", "recall"], hot, ["number"])
         .groupBy("number", "code", "kind")
         .agg(F.sum("k").alias("term"))
     )
@@ -220,7 +222,8 @@ def _recall_events(devices: DataFrame, tuples: DataFrame) -> DataFrame:
     set_events = salted_join(code_events, code_sets, ["code"], ["event"]).select("codes", "event").distinct()
     per_set = set_events.groupBy("codes").agg(F.count("*").alias("n_set"))
     own = salted_join(events, sets_of, ["number"], ["event"])
-    new = own.join(set_events, ["codes", "event"], "left_anti").groupBy("number").agg(F.count("*").alias("n_new"))
+    unseen = salted_join(own, set_events, ["codes", "event"], ["number"], "left_anti")
+    new = unseen.groupBy("number").agg(F.count("*").alias("n_new"))
     return (
         sets_of.join(per_set, "codes", "left")
         .join(new, "number", "left")

@@ -12,6 +12,10 @@ from pyspark.sql.window import Window
 # Most tasks one join key is spread over, which is also the copies made of the other, smaller side.
 MAX_SPREAD = 32
 
+# Values treated as hot: at least one row in HOT_SHARE, so at most MAX_HOT of them.
+HOT_SHARE = 100
+MAX_HOT = 100
+
 # Buckets per group for distributed ranking; the bucket counts, not the rows, are ordered in one task.
 RANK_BUCKETS = 4096
 
@@ -80,6 +84,47 @@ def salted_join(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def hot_values(df: DataFrame, column: str) -> DataFrame:
+    """The values of a column that hold at least one row in HOT_SHARE; never more than MAX_HOT.
+
+    A sketch of fixed size finds them in one pass. Missing one costs time only: results never depend on the list.
+    """
+    found = df.agg(
+        F.expr(f"approx_top_k({column}, {MAX_HOT}, {100 * MAX_HOT})").alias("top"), F.count(column).alias("rows")
+    )
+    return (
+        found.select("rows", F.inline("top"))
+        .filter((F.col("count") * HOT_SHARE >= F.col("rows")) & F.col("item").isNotNull())
+        .select(F.col("item").alias(column))
+    )
+
+
+def hot_salted_join(
+    many: DataFrame,
+    few: DataFrame,
+    on: list[str],
+    hot: DataFrame,
+    salt_by: list[str],
+    spread: int | None = None,
+) -> DataFrame:
+    """Inner join of two large sides whose key holds a value that may be hot, listed in the one-column table `hot`.
+
+    Only rows of hot values are dealt over tasks, and only their partners copied, so the copies stay few.
+    """
+    spread = spread or spread_width(many.sparkSession)
+    if spread == 1:
+        return many.join(few, on)
+    (column,) = hot.columns
+    listed = hot.withColumn("_hot", F.lit(True))
+    dealt = F.pmod(F.xxhash64(*salt_by), F.lit(spread)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(spread - 1))
+    left = many.join(listed, column, "left").withColumn("_salt", F.when(F.col("_hot"), dealt).otherwise(F.lit(0)))
+    right = few.join(listed, column, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
+    )
+    return left.drop("_hot").join(right.drop("_hot"), [*on, "_salt"]).drop("_salt")
+
+
 def spread_rank(df: DataFrame, key: Column, name: str, within: list[str] | None = None) -> DataFrame:
     """Exact rank 1..n of each row within `within` (all rows if None), ordered by md5 of a unique key.
 

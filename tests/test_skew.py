@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from recall_lens.operators.skew import salted_join, shared_folder, spread_rank, spread_width, stage
+from recall_lens.operators.skew import hot_salted_join, hot_values, salted_join, shared_folder, spread_rank, spread_width, stage
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -27,6 +27,18 @@ def test_hot_key_is_dealt_over_tasks(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_hot_values_and_their_join(spark):
+    many = spark.range(6000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 11 = 0 THEN NULL ELSE 'v' || id END x", "id")
+    few = spark.range(0, 6000, 2).selectExpr("'v' || id AS x", "id AS v").union(
+        spark.createDataFrame([("hot", -1), ("hot", -2), (None, -3)], "x string, v long")
+    )
+    hot = hot_values(many, "x")
+    assert [r["x"] for r in hot.collect()] == ["hot"]
+    expected = sorted(many.join(few, "x").collect())
+    assert sorted(hot_salted_join(many, few, ["x"], hot, ["id"], spread=5).collect()) == expected
+    assert sorted(hot_salted_join(many, few, ["x"], hot.limit(0), ["id"], spread=5).collect()) == expected
+
+
 def test_width_follows_the_session(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
