@@ -212,7 +212,9 @@ def _shared_counts(sets: DataFrame, p: DataFrame, k: DataFrame, kinds: tuple[str
 def rollup_from_view(view: DataFrame) -> DataFrame:
     """The device rollup read off the view; `rollup.device_rollup` gives the same without building the view."""
     far = F.to_date(F.lit("9999-12-31"))
-    order = F.struct(F.coalesce("event_date_initiated", far), F.coalesce("cfres_id", F.lit("")), "root_cause_description")
+    order = F.struct(
+        F.coalesce("event_date_initiated", far), F.coalesce("cfres_id", F.lit("")), "root_cause_description"
+    )
     return (
         view.filter(F.col("PMA_PMN_NUM").isNotNull())
         .groupBy("PMA_PMN_NUM")

@@ -66,9 +66,7 @@ def _cut_to_top(scored: DataFrame, n: int, by: str) -> DataFrame:
     counts = scored.groupBy(band.alias("band")).agg(F.count("*").alias("n"))
     reached = counts.withColumn("reached", F.sum("n").over(from_top))
     lowest = reached.agg(F.max(F.when(F.col("reached") >= n, F.col("band"))).alias("band"))
-    return scored.withColumn("_lowest", lowest.scalar()).filter(
-        F.col("_lowest").isNull() | (band >= F.col("_lowest"))
-    ).drop("_lowest")
+    return scored.filter(band >= F.coalesce(lowest.scalar(), F.lit(-1)))
 
 
 def top_devices(scored: DataFrame, n: int, by: str = "rpss") -> DataFrame:

@@ -483,7 +483,8 @@ UNION ALL SELECT {SCORED_COLUMNS}, TIMESTAMP '2025-01-01 00:00:00' FROM scored W
     ),
     "filter_options": _select(
         SCORED,
-        "SELECT DISTINCT rpss_category, device_class, root_cause_description FROM scored WHERE rpss_category IS NOT NULL",
+        """SELECT DISTINCT rpss_category, device_class, root_cause_description
+FROM scored WHERE rpss_category IS NOT NULL""",
     ),
     "filtered_devices": _select(
         SCORED,
@@ -572,6 +573,12 @@ UNION ALL SELECT 'forecast', category, date, forecasted_recalls, lower_bound, up
   TRY_CAST(event_type AS DOUBLE) AS not_a_number FROM events""",
     "clean_json": """SELECT event_id, '{"k":' || CAST((props ->> '$.k')::BIGINT AS VARCHAR) || '}' AS props,
   CASE WHEN event_type IN ('', ' ') THEN NULL ELSE trim(event_type) END AS event_type FROM events""",
+    "flat_recalls": _select(
+        FEEDS,
+        """SELECT res_event_number AS cfres_id, res_event_number, '["' || number || '"]' AS k_numbers,
+  CAST(event_date_initiated AS VARCHAR) AS event_date_initiated, recall_status, reason_for_recall,
+  root_cause_description FROM recall""",
+    ),
     "ml_features": _select(
         SCORED,
         """SELECT PMA_PMN_NUM, coalesce(rpss, 0) AS rpss, coalesce(device_class, 0) AS device_class,

@@ -179,6 +179,12 @@ def cleaned_json(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def flat_recalls(spark: SparkSession, folder: str) -> DataFrame:
+    """Recalls as a flat text table: the array of device numbers as JSON text."""
+    recall = feeds(spark, folder).recall
+    return recall.select(*[clean_json_value(F.col(f.name), f.dataType).alias(f.name) for f in recall.schema])
+
+
 # --- classifier --------------------------------------------------------------------------------------------------
 
 
@@ -283,6 +289,7 @@ QUERIES: dict[str, Query] = {
     "truncate_columns": truncated_columns,
     "numeric_coerce": coerced_numbers,
     "clean_json": cleaned_json,
+    "flat_recalls": flat_recalls,
     "ml_features": _on_scores(classify.feature_table),
     "ml_split": ml_split,
     "ml_predictions": ml_predictions,

@@ -19,7 +19,10 @@ def device_rows(n=400, causes=("Design", "Packaging", "Software", None)):
         score = r.random()
         recalls = r.randrange(1, 5) if score + r.random() * 0.4 > 0.7 else 0
         rows.append(
-            (f"K{i:05d}", recalls, r.randrange(200), r.randrange(5), float(r.randrange(1, 4)), r.choice(causes), score, "Low")
+            (
+                f"K{i:05d}", recalls, r.randrange(200), r.randrange(5), float(r.randrange(1, 4)), r.choice(causes),
+                score, "Low",
+            )
         )
     return rows
 
