@@ -60,7 +60,7 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "total wall time of the registered queries, warm, median of runs",
+                "metric": "total wall time of the registered queries, warm, median of runs, without publish",
                 "value": round(sum(seconds[n] for n in names), 3),
                 "unit": "sec",
                 "queries": {n: round(s, 3) for n, s in seconds.items()},
