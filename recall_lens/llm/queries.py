@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recall_lens.llm import packing, quality, token_counts
+from recall_lens.llm import language, neighbours, packing, quality, token_counts, toxicity
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,6 +18,18 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents(spark, folder))
 
 
+def remainder(divisor: int) -> Column:
+    """crc32 of doc_id as text, modulo `divisor`."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+
+
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False))
+    model = language.learn(docs.where(~held_out))
+    return language.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, folder))
 
@@ -30,10 +42,23 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    model = toxicity.learn(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    return toxicity.grade(docs, model).withColumn("toxic", F.col("p_toxic") >= toxicity.TOXIC)
+
+
+def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(spark.read.parquet(f"{folder}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_language": op3_language,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
+    "op9_toxicity": op9_toxicity,
+    "op10_neighbours": op10_neighbours,
 }
 
 ORACLE: dict[str, str] = {}
