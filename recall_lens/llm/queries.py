@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recall_lens.llm import language, neighbours, packing, quality, token_counts, toxicity
+from recall_lens.llm import language, near_duplicates, neighbours, packing, quality, token_counts, toxicity
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.group(documents(spark, folder))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     model = toxicity.learn(docs, spark.read.parquet(f"{folder}/labels.parquet"))
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_toxicity": op9_toxicity,
     "op10_neighbours": op10_neighbours,
 }
