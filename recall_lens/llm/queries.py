@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recall_lens.llm import language, near_duplicates, neighbours, packing, quality, token_counts, toxicity
+from recall_lens.llm import language, near_duplicates, neighbours, packing, quality, repeats, token_counts, toxicity
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents(spark, folder))
 
 
+def op2_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    rows = repeats.remove_repeats(documents(spark, folder))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def remainder(divisor: int) -> Column:
     """crc32 of doc_id as text, modulo `divisor`."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
@@ -58,6 +63,7 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_repeats": op2_repeats,
     "op3_language": op3_language,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
