@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recall_lens.llm import language, near_duplicates, neighbours, packing, quality, repeats, token_counts, toxicity
+from recall_lens.llm import language, near_duplicates, neighbours, packing, quality, repeats, sentencepieces, token_counts, toxicity
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,6 +47,12 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_sentencepieces(spark: SparkSession, folder: str) -> DataFrame:
+    """The ids of every document, and the digest of the text that they decode to."""
+    decoded = sentencepieces.decode(sentencepieces.encode(documents(spark, folder)))
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.group(documents(spark, folder))
 
@@ -67,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
+    "op7_sentencepieces": op7_sentencepieces,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_toxicity": op9_toxicity,
     "op10_neighbours": op10_neighbours,
