@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recall_lens.llm.staging import small_batches
 from recall_lens.llm.text import batch
@@ -201,8 +202,9 @@ def learn(docs: DataFrame, chars: int = SAMPLE_CHARS) -> Languages:
 _LOADED: dict[Languages, Languages] = {}
 
 
-def identify(docs: DataFrame, languages: Languages) -> DataFrame:
-    """doc_id, lang_pred, score (0 to 1), bits_per_symbol and n_symbols of every row of `docs` (doc_id, text).
+def identify(docs: DataFrame, languages: Languages, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, lang_pred, score (0 to 1), bits_per_symbol, n_symbols and the columns of `carry` of every row of `docs`
+    (doc_id, text).
 
     Null text, text without a letter, and any text when nothing was learnt get `und`, with score 0. Nothing but the
     text is looked at. Repeated rows and rows without a doc_id are judged like others.
@@ -215,6 +217,9 @@ def identify(docs: DataFrame, languages: Languages) -> DataFrame:
         model = _LOADED.setdefault(model, model)  # automata are built once a worker
         for b in batches:
             names, score, bits, size = model.judge([x or "" for x in b.column(1).to_pylist()])
-            yield batch(_ARROW, [b.column(0), names, score, bits, size])
+            own = batch(_ARROW, [b.column(0), names, score, bits, size])
+            yield pa.RecordBatch.from_arrays([*own.columns, *b.columns[2:]], names=[*_ARROW.names, *carry])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(predict, _SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("long"), "text", *carry)
+    schema = T.StructType([*T.StructType.fromDDL(_SCHEMA), *docs.select(*carry).schema])
+    return rows.mapInArrow(predict, schema)

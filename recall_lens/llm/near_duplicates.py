@@ -23,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from xxhash import xxh3_128_digest
 
 from recall_lens.llm.components import components
@@ -110,8 +111,6 @@ def sign(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     bands and signature are null where there are no words."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text", *carry)
-    kept = docs.select(*carry)
-    schema = pa.schema(_ARROW)
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -123,11 +122,11 @@ def sign(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
                     rows.append((len(s), xxh3_128_digest(s.tobytes()), band_keys(values), values.astype(np.uint8).tobytes()))
                 else:
                     rows.append((0, None, None, None))
-            own = batch(schema, [b.column(0), *(zip(*rows, strict=True) if rows else [[]] * 4)])
-            yield pa.RecordBatch.from_arrays([*own.columns, *b.columns[2:]], names=[*schema.names, *carry])
+            own = batch(_ARROW, [b.column(0), *(zip(*rows, strict=True) if rows else [[]] * 4)])
+            yield pa.RecordBatch.from_arrays([*own.columns, *b.columns[2:]], names=[*_ARROW.names, *carry])
 
-    out = "doc_id long, n_shingles long, key binary, bands array<long>, signature binary"
-    return docs.mapInArrow(compute, out + "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in kept.schema))
+    out = T.StructType.fromDDL("doc_id long, n_shingles long, key binary, bands array<long>, signature binary")
+    return docs.mapInArrow(compute, T.StructType([*out, *docs.select(*carry).schema]))
 
 
 def compared(pairs: DataFrame, signs: DataFrame) -> DataFrame:

@@ -60,7 +60,7 @@ def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     model = toxicity.learn(docs, spark.read.parquet(f"{folder}/labels.parquet"))
-    return toxicity.grade(docs, model).withColumn("toxic", F.col("p_toxic") >= toxicity.TOXIC)
+    return toxicity.grade(docs, model)
 
 
 def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:

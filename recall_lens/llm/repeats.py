@@ -151,9 +151,9 @@ class Automaton:
         return np.cumsum(steps[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), whole_as_is: bool = False) -> DataFrame:
     """doc_id, text (the kept words, joined by one space), n_words, n_removed, and the columns of `carry`, of every row
-    of `docs` (doc_id, text).
+    of `docs` (doc_id, text). `whole_as_is` leaves the text of rows that lose nothing as it is, null included.
 
     Null, empty and blank texts have no words and come back empty. A row without a doc_id is before and after no other:
     it comes back whole, and takes nothing from others. Rows that repeat a doc_id take nothing from each other.
@@ -185,10 +185,12 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     def remove(docs: pa.Table, phrases: pa.Table) -> pa.Table:
         automaton = Automaton(zip(phrases["source"].to_pylist(), texts_of(phrases["phrase"]), strict=True))
         texts, words_, removed = [], [], []
-        for doc_id, text in zip(docs["doc_id"].to_pylist(), texts_of(docs["text"]), strict=True):
-            words = text.split()
+        for doc_id, text in zip(docs["doc_id"].to_pylist(), docs["text"].to_pylist(), strict=True):
+            words = (text or "").encode().split()
             gone = automaton.covered(doc_id, words) if doc_id is not None else np.zeros(len(words), bool)
-            texts.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if gone.any() else words).decode())
+            if gone.any() or not whole_as_is:
+                text = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]).decode()
+            texts.append(text)
             words_.append(len(words))
             removed.append(int(gone.sum()))
         columns = [docs["doc_id"], pa.array(texts, pa.string()), *[docs[c] for c in carry], pa.array(words_, pa.int64()), pa.array(removed, pa.int64())]

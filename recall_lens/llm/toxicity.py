@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest
 
 from recall_lens.llm.staging import small_batches
@@ -37,7 +38,7 @@ STEPS = 300
 TOXIC = 0.3
 
 _EDGES = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_ARROW = pa.schema([("doc_id", pa.int64()), ("severity", pa.float64()), ("p_toxic", pa.float64())])
+_ARROW = pa.schema([("doc_id", pa.int64()), ("severity", pa.float64()), ("p_toxic", pa.float64()), ("toxic", pa.bool_())])
 
 
 def word_of(raw: bytes) -> bytes:
@@ -154,8 +155,9 @@ class _Weights(dict):
 _LOADED: dict[int, _Weights] = {}
 
 
-def grade(docs: DataFrame, model: Ordinal) -> DataFrame:
-    """doc_id, severity (expected grade, 0 to the highest) and p_toxic (P(grade > 0)) of every row of `docs`.
+def grade(docs: DataFrame, model: Ordinal, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, severity (expected grade, 0 to the highest), p_toxic (P(grade > 0)), toxic (p_toxic of at
+    least TOXIC, by words that speak for it) and the columns of `carry` of every row of `docs` (doc_id, text).
 
     Whole texts are read. Null and empty texts have no words, so they get the grade of a text without any known word.
     Repeated rows and rows without a doc_id are graded like others.
@@ -175,7 +177,11 @@ def grade(docs: DataFrame, model: Ordinal) -> DataFrame:
             for text in texts_of(b.column(1)):
                 found = set().union(*set(map(get, set(text.lower().split()))))
                 scores.append(sum(model.weights[k] for k in sorted(found)))
-            over = model.grades(np.array(scores, float))
-            yield batch(_ARROW, [b.column(0), over.sum(1), over[:, 0]])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(predict, "doc_id long, severity double, p_toxic double")
+            scores = np.array(scores, float)
+            over = model.grades(scores)
+            own = batch(_ARROW, [b.column(0), over.sum(1), over[:, 0], (over[:, 0] >= TOXIC) & (scores > 0)])
+            yield pa.RecordBatch.from_arrays([*own.columns, *b.columns[2:]], names=[*_ARROW.names, *carry])
+
+    rows = docs.select(F.col("doc_id").cast("long"), "text", *carry)
+    schema = T.StructType([*T.StructType.fromDDL("doc_id long, severity double, p_toxic double, toxic boolean"), *docs.select(*carry).schema])
+    return rows.mapInArrow(predict, schema)
