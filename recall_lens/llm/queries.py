@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recall_lens.llm import language, near_duplicates, neighbours, packing, quality, repeats, sentencepieces, token_counts, toxicity
+from recall_lens.llm import language, lm_scores, near_duplicates, neighbours, packing, quality, repeats, sentencepieces, token_counts, toxicity
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,6 +35,13 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op4_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    held_out = F.coalesce(remainder(7) == 2, F.lit(False))
+    scored = lm_scores.score(docs, remainder(7) != 2)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, folder))
 
@@ -71,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_repeats": op2_repeats,
     "op3_language": op3_language,
+    "op4_lm_scores": op4_lm_scores,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepieces": op7_sentencepieces,
