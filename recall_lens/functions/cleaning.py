@@ -23,8 +23,17 @@ DATE_SHAPES = (
     (r"^\d{8}$", "yyyyMMdd"),
     (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
     (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yy"),
+    (r"^[A-Za-z]{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy"),
+    (r"^\d{4}\.\d{1,2}\.\d{1,2}$", "yyyy.M.d"),
+    (r"^\d{2}[A-Za-z]{3}\d{4}$", "ddMMMyyyy"),
 )
-TIME_OF_DAY = r"[ T]\d{1,2}:\d{2}.*$"
+TIME_OF_DAY = r"([ T]\d{1,2}:\d{2}.*|(?<=^\d{8})[ T]\d{4,6})$"
+# Two-digit years from here on belong to the last century.
+CENTURY_TURN = 2069
 
 # Blanks stripped from both ends of a text value.
 BLANKS = " \t\n\r\x0b\x0c"
@@ -43,7 +52,13 @@ def clean_text(c: Column, na_tokens: Iterable[str] = NA_TOKENS) -> Column:
 def clean_date(c: Column, shapes: Iterable[tuple[str, str]] = DATE_SHAPES) -> Column:
     """The day a text names, a time of day being dropped; text that is no date becomes null."""
     text = F.regexp_replace(strip(c), TIME_OF_DAY, "")
-    day = lambda layout: F.to_date(F.try_to_timestamp(text, F.lit(layout)))
+
+    def day(layout: str) -> Column:
+        found = F.to_date(F.try_to_timestamp(text, F.lit(layout)))
+        if "yyyy" in layout:
+            return found
+        return F.when(F.year(found) >= CENTURY_TURN, F.add_months(found, -1200)).otherwise(found)
+
     return F.coalesce(*[F.when(text.rlike(shape), day(layout)) for shape, layout in shapes])
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -21,6 +22,10 @@ from recall_lens.operators.skew import spread_rank
 FEATURES = ("rpss", "device_class", "root_cause_encoded", "log_adverse_events", "log_manufacturers")
 LABEL = "has_recall"
 HIGH_RISK = 0.7
+
+# Parts the training rows are dealt to: at least so many, and one for so many rows.
+LEAST_PARTS = 8
+PART_ROWS = 500_000
 KEY = "PMA_PMN_NUM"
 
 
@@ -88,7 +93,7 @@ def _estimator(model_type: str, trees: int, max_bins: int) -> RandomForestClassi
         return RandomForestClassifier(numTrees=trees, maxDepth=10, minInstancesPerNode=2, **common)
     if model_type == "gradient_boosting":
         return GBTClassifier(maxIter=trees, maxDepth=5, stepSize=0.1, **common)
-    raise ValueError(f"Unknown model_type: {model_type}")
+    raise ValueError(f"no such model: {model_type}")
 
 
 @dataclass
@@ -144,14 +149,16 @@ def train(
         inputCol="f_cause", outputCol="f_root_cause_encoded", stringOrderType="alphabetAsc", handleInvalid="keep"
     )
     if usable.isEmpty():
-        raise ValueError("No valid data after cleaning")
+        raise ValueError("no row has finite features")
     labels = indexer.fit(usable)
     assembler = VectorAssembler(inputCols=[f"f_{c}" for c in FEATURES], outputCol="features")
     parts = stratified_split(usable, test_size)
     estimator = _estimator(model_type, trees, max(32, len(labels.labelsArray[0]) + 2))
-    # Bootstrap samples depend on where a row lies, so rows are placed by their key: the same data, the same trees.
-    places = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fitted = parts.filter(~F.col("is_test")).repartition(places, KEY).sortWithinPartitions(KEY)
+    # Bootstrap samples depend on where a row lies, so rows are placed by their key, in as many parts as their number
+    # asks for and not the session: the same data, the same trees.
+    fitted = parts.filter(~F.col("is_test"))
+    places = max(LEAST_PARTS, fitted.count() // PART_ROWS)
+    fitted = fitted.repartition(places, KEY).sortWithinPartitions(KEY)
     model = Pipeline(stages=[labels, assembler, estimator]).fit(fitted)
     tested = model.transform(parts.filter("is_test")).select(
         KEY, LABEL, "prediction", "rawPrediction", vector_to_array("probability")[1].alias("recall_probability")
@@ -178,7 +185,7 @@ def confusion_matrix(tested: DataFrame) -> DataFrame:
 
 def metrics(tested: DataFrame) -> DataFrame:
     """Accuracy, AUC, and precision / recall / F1 / support per class with macro and weighted means, as rows."""
-    auc = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction").evaluate(tested)
+    auc = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction", numBins=0).evaluate(tested)
     hit = lambda a, p: F.count(F.when((F.col(LABEL) == a) & (F.col("prediction") == p), 1))
     counted = tested.agg(*[hit(a, p).cast("double").alias(f"n{a}{p}") for a in (0, 1) for p in (0, 1)])
     ratio = lambda a, b: F.coalesce(a / F.nullif(b, F.lit(0.0)), F.lit(0.0))
@@ -219,13 +226,19 @@ def high_risk_count(predicted: DataFrame) -> DataFrame:
 
 
 def top_predictions(
-    predicted: DataFrame, names: DataFrame, n: int = 20, high_risk_only: bool = False
+    predicted: DataFrame,
+    names: DataFrame | Callable[[DataFrame], DataFrame],
+    n: int = 20,
+    high_risk_only: bool = False,
 ) -> DataFrame:
-    """The n likeliest devices with names; in the high-risk list a device without a name shows its number."""
+    """The n likeliest devices with names; in the high-risk list a device without a name shows its number.
+
+    `names` may be a function of the asked numbers, so that no others are looked up.
+    """
     rows = predicted.filter(F.col("recall_probability") > HIGH_RISK) if high_risk_only else predicted
-    named = with_device_names(
-        top_devices(rows, n, "recall_probability"), names, F.col(KEY) if high_risk_only else None
-    )
+    top = top_devices(rows, n, "recall_probability")
+    found = names(top.select(KEY)) if callable(names) else names
+    named = with_device_names(top, found, F.col(KEY) if high_risk_only else None)
     return named.select(
         "device_name",
         KEY,

@@ -18,11 +18,12 @@ def names_from_view(view: DataFrame) -> DataFrame:
     return view.filter(F.col("PMA_PMN_NUM").isNotNull()).groupBy("PMA_PMN_NUM").agg(F.max(name).alias("device_name"))
 
 
-def device_names(feeds: Feeds, fallback: str | None = NO_NAME) -> DataFrame:
+def device_names(feeds: Feeds, fallback: str | None = NO_NAME, only: DataFrame | None = None) -> DataFrame:
     """The same names taken from code-level maxima, so that no approval x clearance pair is built.
 
     A pair shows its clearance's name, else the product code's, else the approval's. The greatest over all pairs is
     therefore the greatest clearance name of the code, and the later choices only where an earlier one can be blank.
+    With `only`, a table of device numbers, just their codes are aggregated and just they get a name.
     """
     approvals = feeds.pma.select(
         F.col("PMANUMBER").alias("number"),
@@ -32,6 +33,12 @@ def device_names(feeds: Feeds, fallback: str | None = NO_NAME) -> DataFrame:
     clearances = feeds.premarket_510k.select(
         F.col("KNUMBER").alias("number"), F.col("PRODUCTCODE").alias("code"), not_blank(F.col("DEVICENAME")).alias("own")
     )
+    products = feeds.product_code.withColumnRenamed("PRODUCTCODE", "code")
+    if only is not None:
+        asked = only.select(F.col("PMA_PMN_NUM").alias("number")).distinct()
+        codes = approvals.select("number", "code").union(clearances.select("number", "code")).join(asked, "number", "left_semi")
+        codes = codes.select("code").distinct()
+        approvals, clearances, products = (df.join(codes, "code", "left_semi") for df in (approvals, clearances, products))
     unnumbered = F.col("number").isNull()
     by_code = (
         clearances.withColumn("role", F.lit("K"))
@@ -48,8 +55,8 @@ def device_names(feeds: Feeds, fallback: str | None = NO_NAME) -> DataFrame:
         )
     )
     classes = (
-        feeds.product_code.filter(F.col("PRODUCTCODE").isNotNull())
-        .groupBy(F.col("PRODUCTCODE").alias("code"))
+        products.filter(F.col("code").isNotNull())
+        .groupBy("code")
         .agg(
             F.max(not_blank(F.col("DEVICENAME"))).alias("pc_name"),
             F.max(not_blank(F.col("DEVICENAME")).isNull()).alias("pc_blank"),
@@ -82,6 +89,8 @@ def device_names(feeds: Feeds, fallback: str | None = NO_NAME) -> DataFrame:
         .groupBy(F.col("number").alias("PMA_PMN_NUM"))
         .agg(F.max("name").alias("device_name"))
     )
+    if only is not None:
+        best = asked.withColumnRenamed("number", "PMA_PMN_NUM").join(best, "PMA_PMN_NUM", "left")
     if fallback is None:
         return best
     return best.withColumn("device_name", F.coalesce("device_name", F.lit(fallback)))

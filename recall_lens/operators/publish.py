@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from recall_lens.functions.display import NO_NAME
 from recall_lens.operators.names import with_device_names
@@ -14,7 +13,6 @@ from recall_lens.operators.scoring import SCORED_COLUMNS
 
 KEY = "PMA_PMN_NUM"
 SNAPSHOT_ROWS = 50_000
-MANY_ROWS = 10_000
 SNAPSHOT_COLUMNS = (
     "PMA_PMN_NUM",
     "rpss",
@@ -55,24 +53,9 @@ def scored_view(published: DataFrame) -> DataFrame:
     )
 
 
-def _cut_to_top(scored: DataFrame, n: int, by: str) -> DataFrame:
-    """Rows that can be among the n highest: those at or above the score band in which the n-th lies.
-
-    A sorted limit sends every task's n best rows to one task. For a large n the counts of 10,000 score bands, read
-    from the top, leave little more than n rows to send.
-    """
-    band = F.coalesce(F.floor(F.col(by) * 10_000), F.lit(-1))
-    from_top = Window.partitionBy(F.lit(1)).orderBy(F.col("band").desc())
-    counts = scored.groupBy(band.alias("band")).agg(F.count("*").alias("n"))
-    reached = counts.withColumn("reached", F.sum("n").over(from_top))
-    lowest = reached.agg(F.max(F.when(F.col("reached") >= n, F.col("band"))).alias("band"))
-    return scored.filter(band >= F.coalesce(lowest.scalar(), F.lit(-1)))
-
-
 def top_devices(scored: DataFrame, n: int, by: str = "rpss") -> DataFrame:
-    """The n highest devices, ties by device number."""
-    rows = _cut_to_top(scored, n, by) if n >= MANY_ROWS else scored
-    return rows.orderBy(F.col(by).desc_nulls_last(), KEY).limit(n)
+    """The n highest devices, ties by device number; NaN ranks above all numbers and null below them."""
+    return scored.orderBy(F.col(by).desc_nulls_last(), KEY).limit(n)
 
 
 def snapshot(published: DataFrame, names: DataFrame | None, rows: int = SNAPSHOT_ROWS) -> DataFrame:

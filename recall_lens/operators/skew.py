@@ -126,29 +126,37 @@ def hot_salted_join(
 
 
 def spread_rank(df: DataFrame, key: Column, name: str, within: list[str] | None = None) -> DataFrame:
-    """Exact rank 1..n of each row within `within` (all rows if None), ordered by md5 of a unique key.
+    """Exact rank 1..n of each row within `within` (all rows if None), ordered by md5 of a key.
 
     The hash range is cut into buckets: their counts give each bucket its starting rank, and rows are only ordered
-    inside one bucket, so no group is ever sorted as a whole. Also adds `<name>_total`, the number of rows ranked.
+    inside one bucket, so no group is ever sorted as a whole. Rows of one key are ordered by all their columns, rows
+    without a key come last. Also adds `<name>_total`, the number of rows ranked.
     """
     groups = within or []
-    hashed = df.withColumn("_h", F.md5(key.cast("string")))
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    hashed = df.withColumn("_h", F.md5(key.cast("string"))).withColumn("_row", whole)
     hashed = hashed.withColumn(
-        "_bucket", F.pmod(F.conv(F.substring("_h", 1, 3), 16, 10).cast("int"), F.lit(RANK_BUCKETS))
+        "_bucket",
+        F.when(F.col("_h").isNull(), RANK_BUCKETS + F.pmod("_row", F.lit(RANK_BUCKETS)))
+        .otherwise(F.pmod(F.conv(F.substring("_h", 1, 3), 16, 10).cast("long"), F.lit(RANK_BUCKETS)))
+        .cast("int"),
     )
     counts = hashed.groupBy(*groups, "_bucket").agg(F.count("*").alias("_n"))
     anchor = [F.col(g) for g in groups] or [F.lit(1)]
     before = Window.partitionBy(*anchor).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        *groups,
-        "_bucket",
+        *[F.col(g).alias(f"_in_{g}") for g in groups],
+        F.col("_bucket").alias("_of"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.sum("_n").over(Window.partitionBy(*anchor)).alias(f"{name}_total"),
     )
-    inside = Window.partitionBy(*groups, "_bucket").orderBy("_h", key)
+    inside = Window.partitionBy(*groups, "_bucket").orderBy("_h", "_row")
     ranked = hashed.withColumn("_pos", F.row_number().over(inside))
+    same = F.col("_bucket") == F.col("_of")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_in_{g}"))
     return (
-        ranked.join(offsets, [*groups, "_bucket"])
+        ranked.join(offsets, same)
         .withColumn(name, F.col("_pos") + F.col("_before"))
-        .drop("_h", "_bucket", "_pos", "_before")
+        .drop("_h", "_row", "_bucket", "_pos", "_before", "_of", *[f"_in_{g}" for g in groups])
     )

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from recall_lens.functions.cleaning import clean_date
 from recall_lens.operators.skew import spread_rank
 
 OVERALL = "All"
@@ -53,6 +54,11 @@ def dates_by_rank(scored: DataFrame, as_of: dt.date, column: str = "synthetic_da
     return ranked.withColumn(column, F.date_sub(F.lit(as_of), days_ago)).drop("_rank", "_rank_total")
 
 
+def _day(dated: DataFrame, column: str) -> Column:
+    """A date column as it is; text is read like any feed's, and what is no date becomes null."""
+    return clean_date(F.col(column)) if dict(dated.dtypes)[column] == "string" else F.col(column)
+
+
 def _with_overall(rows: DataFrame, freq: str) -> DataFrame:
     """Sums per period and per (period, category). Rows without a category count in the overall series only."""
     grouped = rows.groupingSets([["period"], ["period", "category"]], "period", "category").agg(
@@ -78,7 +84,7 @@ def spread_series(dated: DataFrame, date_column: str = "last_scored", freq: str
     n = F.greatest(F.least("recall_count", F.lit(12)), F.lit(3))
     alike = (
         dated.select(
-            F.trunc(date_column, "MM").alias("month"),
+            F.trunc(_day(dated, date_column), "MM").alias("month"),
             F.col("rpss_category").alias("category"),
             F.coalesce("recall_count", F.lit(0)).cast("long").alias("recall_count"),
         )
@@ -102,8 +108,9 @@ def spread_series(dated: DataFrame, date_column: str = "last_scored", freq: str
 def plain_series(dated: DataFrame, date_column: str = "last_scored", freq: str = "M") -> DataFrame:
     """Recalls and devices by the period of their date."""
     unit, _ = _unit(freq)
-    rows = dated.filter(F.col(date_column).isNotNull()).select(
-        F.trunc(date_column, unit).alias("period"),
+    day = _day(dated, date_column)
+    rows = dated.filter(day.isNotNull()).select(
+        F.trunc(day, unit).alias("period"),
         F.col("rpss_category").alias("category"),
         F.coalesce("recall_count", F.lit(0)).alias("recalls"),
         F.when(F.col("PMA_PMN_NUM").isNotNull(), 1).otherwise(0).alias("devices"),

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from recall_lens.sinks.tables import full_refresh
-from recall_lens.sources.delimited import DelimitedFeed, path_exists, read_feeds
+from recall_lens.sources.delimited import DelimitedFeed, path_exists, read_feeds, surplus_rows
 from recall_lens.sources.recall_feed import clean_recalls, read_documents, read_lines
 from recall_lens.sources.testdata import Feeds
 
@@ -19,11 +20,19 @@ def ingest(
     target: str,
     recall_lines: bool = False,
 ) -> list[str]:
-    """Load every feed that is present; returns the tables written."""
+    """Load every feed that is present; returns the tables written.
+
+    Rows that fit no column of their file go, as raw text, to `quarantine/<table>`, which is named too if it has any.
+    """
     written = []
-    for name, table in read_feeds(spark, delimited).items():
+    present = [feed for feed in delimited if path_exists(spark, feed.path)]
+    for name, table in read_feeds(spark, present).items():
         full_refresh(table, f"{target}/{name}")
         written.append(name)
+        bad = reduce(DataFrame.unionByName, [surplus_rows(spark, feed) for feed in present if feed.table == name])
+        if not bad.isEmpty():
+            full_refresh(bad, f"{target}/quarantine/{name}")
+            written.append(f"quarantine/{name}")
     if recall_path and path_exists(spark, recall_path):
         raw = read_lines(spark, recall_path) if recall_lines else read_documents(spark, recall_path)
         full_refresh(clean_recalls(raw), f"{target}/recall")

@@ -565,7 +565,7 @@ UNION ALL SELECT 'forecast', category, date, forecasted_recalls, lower_bound, up
         ("recalls", "lower_bound", "upper_bound"),
     ),
     "clean_text": f"SELECT doc_id, {_clean('text')}, {_clean('source')} FROM documents",
-    "clean_dates": """SELECT o_orderkey, CASE WHEN substr(o_orderpriority, 1, 1) <> '4'
+    "clean_dates": """SELECT o_orderkey, CASE WHEN o_orderkey % 16 <> 15
   THEN CAST(o_orderdate AS DATE) END AS order_day FROM orders""",
     "truncate_columns": """SELECT doc_id, substr(concat_ws('/', source, lang, md5(text)), 1, 20) AS KNUMBER,
   substr(text, 1, 1000) AS DEVICENAME, text AS STATEORSUMM FROM documents""",

@@ -140,15 +140,14 @@ def cleaned_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cleaned_dates(spark: SparkSession, folder: str) -> DataFrame:
-    """Order dates written in the layouts of the feeds, one of them no date at all, and read back."""
-    level, day = F.substring("o_orderpriority", 1, 1), F.col("o_orderdate")
-    written = (
-        F.when(level == "1", F.date_format(day, "yyyy-MM-dd"))
-        .when(level == "2", F.concat(F.lit(" "), F.date_format(day, "MM/dd/yyyy")))
-        .when(level == "3", F.date_format(day, "yyyyMMdd"))
-        .when(level == "4", F.date_format(day, "'13/45/'yyyy"))
-        .otherwise(F.date_format(day, "dd-MMM-yyyy"))
-    )
+    """Order dates written in every layout of the feeds in turn, the last no date at all, and read back."""
+    layouts = (
+        "yyyy-MM-dd", " MM/dd/yyyy", "yyyyMMdd", "dd-MMM-yyyy", "MMM d, yyyy", "yyyy/M/d", "M/d/yy", "MMMM d, yyyy",
+        "d MMMM yyyy", "dd MMM yyyy", "MM-dd-yyyy", "yyyy.MM.dd", "ddMMMyyyy", "yyyyMMdd HHmm", "yyyy-MM-dd HH:mm:ss",
+        "'13/45/'yyyy",
+    )
+    turn, day = F.pmod("o_orderkey", F.lit(len(layouts))), F.col("o_orderdate")
+    written = F.coalesce(*[F.when(turn == i, F.date_format(day, layout)) for i, layout in enumerate(layouts)])
     return _read(spark, folder, "orders").select("o_orderkey", clean_date(written).alias("order_day"))
 
 
@@ -225,7 +224,8 @@ def _top_list(high_risk_only: bool) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         scored = published(spark, folder)
         model, _ = trained(spark, folder)
-        found = names.device_names(feeds(spark, folder), fallback=names.UNKNOWN_DEVICE)
+        source = feeds(spark, folder)
+        found = lambda asked: names.device_names(source, names.UNKNOWN_DEVICE, asked)
         return rounded(classify.top_predictions(model.predict(scored), found, high_risk_only=high_risk_only))
 
     return run

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recall_lens.functions.cleaning import clean_date, clean_text, normal_key, truncate_columns
-from recall_lens.schemas import KEYS, TABLES, dates, text_schema, widths
+from recall_lens.schemas import KEYS, TABLES, dates, widths
 
 CORRUPT = "_corrupt_record"
 
@@ -32,13 +33,7 @@ def adverse_events(path: str, table: str = "maude") -> DelimitedFeed:
     return DelimitedFeed(table, path, encoding="ISO-8859-1", quote="")
 
 
-def read_text(spark: SparkSession, feed: DelimitedFeed, quarantine: bool = False) -> DataFrame:
-    """Every column as text, named by the file's header.
-
-    Bytes that do not decode become the replacement character; the rest of the row is kept. cp1252 files need
-    spark.sql.legacy.javaCharsets. With `quarantine`, the columns are the table's and rows that do not fit keep their
-    raw text in `_corrupt_record`.
-    """
+def _reader(spark: SparkSession, feed: DelimitedFeed) -> DataFrameReader:
     reader = (
         spark.read.option("header", True)
         .option("sep", feed.sep)
@@ -46,12 +41,48 @@ def read_text(spark: SparkSession, feed: DelimitedFeed, quarantine: bool = False
         .option("quote", feed.quote)
         .option("mode", "PERMISSIVE")
     )
-    if feed.quote:
-        reader = reader.option("escape", '"')
-    if not quarantine:
-        return reader.csv(feed.path)
-    schema = text_schema(TABLES[feed.table]).add(CORRUPT, T.StringType())
-    return reader.option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(feed.path)
+    return reader.option("escape", '"') if feed.quote else reader
+
+
+def files_by_header(spark: SparkSession, feed: DelimitedFeed) -> dict[tuple[str, ...], list[str]]:
+    """The files of a feed by the columns their own header names."""
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in spark.read.format("binaryFile").load(feed.path).select("path").orderBy("path").collect():
+        found.setdefault(tuple(_reader(spark, feed).csv(row.path).columns), []).append(row.path)
+    return found
+
+
+def read_text(spark: SparkSession, feed: DelimitedFeed, quarantine: bool = False) -> DataFrame:
+    """Every column as text, named by the header of its own file; one scan for each distinct header.
+
+    Bytes that do not decode become the replacement character; the rest of the row is kept. cp1252 files need
+    spark.sql.legacy.javaCharsets. A row with fewer fields than the header is filled with nulls. One with more fits no
+    column; it is left out, or, with `quarantine`, kept with its raw text in `_corrupt_record`.
+    """
+    parts = []
+    for columns, paths in files_by_header(spark, feed).items():
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]).add(CORRUPT, T.StringType())
+        reader = _reader(spark, feed).option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+        part = reader.schema(schema).csv(paths)
+        fields = F.size(F.split(CORRUPT, re.escape(feed.sep)))
+        parts.append(part.withColumn(CORRUPT, F.when(fields > len(columns), F.col(CORRUPT))))
+    text = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if quarantine:
+        return text
+    return text.filter(~_has_surplus(text)).drop(CORRUPT)
+
+
+def _has_surplus(text: DataFrame) -> Column:
+    """Whether a row holds raw text. The 0 it is compared with comes by way of a second column, since Spark refuses a
+    scan of the corrupt record alone."""
+    zero = F.least(F.length(F.coalesce(F.col(f"`{text.columns[0]}`"), F.lit(""))), F.lit(0))
+    return F.coalesce(F.length(CORRUPT), F.lit(-1)) >= zero
+
+
+def surplus_rows(spark: SparkSession, feed: DelimitedFeed) -> DataFrame:
+    """The raw text of rows with more fields than their header."""
+    rows = read_text(spark, feed, quarantine=True)
+    return rows.filter(_has_surplus(rows)).select(CORRUPT)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,10 +11,8 @@ from recall_lens.schemas import TABLES, dates, widths
 
 NUMBERS = T.ArrayType(T.StringType())
 
-# Nested in the source; the rest of a recall is text.
-NESTED = {"k_numbers": NUMBERS, "openfda": T.MapType(T.StringType(), NUMBERS)}
-
-RECORD = T.StructType([T.StructField(f.name, NESTED.get(f.name, T.StringType())) for f in TABLES["recall"]])
+# All members are read as text: nested ones come as their own JSON, whatever their shape.
+RECORD = T.StructType([T.StructField(f.name, T.StringType()) for f in TABLES["recall"]])
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -29,6 +27,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RECORD).json(path)
 
 
+def numbers(text: Column) -> Column:
+    """The members of a JSON array, or the one number that stands in its place."""
+    return F.when(text.startswith("["), F.from_json(text, NUMBERS)).when(text.isNotNull(), F.array(text))
+
+
 def clean_recalls(raw: DataFrame) -> DataFrame:
     """Typed recalls with `k_numbers` kept as an array of normalised numbers for the joins."""
     schema = TABLES["recall"]
@@ -36,7 +39,7 @@ def clean_recalls(raw: DataFrame) -> DataFrame:
     columns = {}
     for f in schema:
         if f.name == "k_numbers":
-            columns[f.name] = F.transform("k_numbers", lambda n: F.nullif(normal_key(n), F.lit("")))
+            columns[f.name] = F.transform(numbers(F.col(f.name)), lambda n: F.nullif(normal_key(n), F.lit("")))
             continue
         value = clean_json_value(F.col(f.name), RECORD[f.name].dataType)
         columns[f.name] = clean_date(value) if f.name in day_columns else value

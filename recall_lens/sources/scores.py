@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from recall_lens.functions.cleaning import NA_TOKENS, to_number, with_alias
+from recall_lens.functions.cleaning import NA_TOKENS, clean_date, to_number, with_alias
 from recall_lens.sinks.files import BYTE_ORDER_MARK
 
 NUMERIC = ("rpss", "recall_count", "total_adverse_events", "device_class")
@@ -40,7 +39,7 @@ def read_database(
 
 
 def read_snapshot(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """The CSV snapshot: byte order mark dropped, numbers coerced, absent columns filled."""
+    """The CSV snapshot: byte order mark dropped, numbers and dates coerced, absent columns filled."""
     raw = spark.read.option("header", True).option("encoding", encoding).option("escape", '"').csv(path)
     raw = raw.toDF(*[c.removeprefix(BYTE_ORDER_MARK) for c in raw.columns])
     cells = {c: F.when(~F.col(f"`{c}`").isin(list(NA_TOKENS)), F.col(f"`{c}`")) for c in raw.columns}
@@ -48,7 +47,7 @@ def read_snapshot(spark: SparkSession, path: str, encoding: str = "UTF-8") -> Da
     df = with_alias(df, "unique_manufacturers", ["unique-manufacturers"])
     numbers = [c for c in (*NUMERIC, "unique_manufacturers") if c in df.columns]
     df = df.withColumns({c: to_number(F.col(c).cast("string")) for c in numbers})
-    for c in ("recall_count", "total_adverse_events", "unique_manufacturers"):
-        if c in df.columns:
-            df = df.withColumn(c, F.col(c).cast(T.LongType()))
+    if "last_scored" in df.columns:
+        stamp = F.col("last_scored").try_cast("timestamp_ntz")
+        df = df.withColumn("last_scored", F.coalesce(stamp, clean_date(F.col("last_scored")).cast("timestamp_ntz")))
     return with_alias(df, "device_name", [], F.col("PMA_PMN_NUM").cast("string"))

@@ -111,12 +111,11 @@ def test_name_lookup_falls_back_to_key(spark):
     assert {r["PMA_PMN_NUM"]: r["device_name"] for r in named.collect()} == {"a": "Pump", "b": "b"}
 
 
-def test_large_top_equals_sorted_limit(spark, monkeypatch):
-    monkeypatch.setattr(publish, "MANY_ROWS", 1)
-    rows = [row(f"k{i:04d}", None if i % 50 == 0 else (i * 37 % 400) / 400) for i in range(1200)]
+def test_top_of_any_size_keeps_ties_nan_and_null_in_order(spark):
+    rows = [row(f"k{i:05d}", None if i % 50 == 0 else float("nan") if i == 77 else (i * 37 % 400) / 400) for i in range(12000)]
     scored = spark.createDataFrame(rows, STAGED)
-    order = sorted(rows, key=lambda r: (r[6] is None, -(r[6] or 0), r[0]))
-    for n in (1, 7, 600, 1190, 5000):
+    order = sorted(rows, key=lambda r: (r[6] is None, r[6] == r[6], -(r[6] or 0) if r[6] == r[6] else 0, r[0]))
+    for n in (1, 7, 9999, 10000, 11990, 50000):
         assert [r["PMA_PMN_NUM"] for r in top_devices(scored, n).collect()] == [r[0] for r in order[:n]]
 
 

@@ -103,11 +103,11 @@ def test_undecodable_bytes_keep_the_row(spark, tmp_path):
 def test_quarantine_keeps_raw_text(spark, tmp_path):
     names = schemas.TABLES["pma"].names
     path = tmp_path / "p.txt"
-    path.write_text("|".join(names) + "\n" + "|".join(["v"] * len(names)) + "\nonly|two\n")
+    path.write_text("|".join(names) + "\n" + "|".join(["v"] * len(names)) + "\nonly|two\n" + "|".join(["w"] * (len(names) + 2)) + "\n")
     rows = read_text(spark, DelimitedFeed("pma", str(path)), quarantine=True).cache()
     bad = [r[CORRUPT] for r in rows.collect() if r[CORRUPT]]
     rows.unpersist()
-    assert bad == ["only|two"]
+    assert bad == ["|".join(["w"] * (len(names) + 2))]
 
 
 def test_feeds_skip_absent_and_union(spark, tmp_path):
@@ -142,11 +142,11 @@ def test_recall_feed(spark, tmp_path, lines):
     first, second = clean_recalls(raw).orderBy("cfres_id").collect()
     assert first["k_numbers"] == ["K1", "K2", None] and first["event_date_initiated"] == dt.date(2024, 1, 5)
     assert first["root_cause_description"] == "Software design" and first["reason_for_recall"] is None
-    assert first["openfda"] == '{"device_class":["2"]}'
+    assert json.loads(first["openfda"]) == {"device_class": ["2"]}
     assert second["k_numbers"] is None and second["event_date_initiated"] is None
     assert (second["action"], second["city"]) == ("", "late key")
     flat = flat_recalls(raw).orderBy("cfres_id").collect()
-    assert flat[0]["k_numbers"] == '[" k1 ","K2",""]' and flat[1]["openfda"] == "{}"
+    assert json.loads(flat[0]["k_numbers"]) == [" k1 ", "K2", ""] and flat[1]["openfda"] == "{}"
 
 
 def test_contract(spark):
