@@ -143,9 +143,9 @@ def _shared_terms(devices: DataFrame, sets: DataFrame, tuples: DataFrame) -> Dat
     hot = hot_values(sets, "x")
     n, r = F.col("copies"), F.col("n_recall")
 
+    k_own = salted_join(sets, k, ["number"], ["x"])
     k_sets = (
-        salted_join(sets, k, ["number"], ["x"])
-        .groupBy("x", "code", "kind")
+        k_own.groupBy("x", "code", "kind")
         .agg(
             F.sum(n).alias("k"),
             F.sum(n * r).alias("k_recall"),
@@ -182,12 +182,16 @@ def _shared_terms(devices: DataFrame, sets: DataFrame, tuples: DataFrame) -> Dat
     p_keys = p_shared.select("number", "code", "recall")
     p_recalls = p_keys.select("code", "recall").distinct()
     k_keys = salted_join(k_named, p_recalls, ["code", "recall"], ["number"], "left_semi")
+    # A value counts here only where both sides of the code have it; few do, so the values left are few per number.
+    value, own = ["x", "code", "kind"], ["number", "code", "kind", "x"]
+    k_common = k_own.select(*own).join(p_sets.select(*value).distinct(), value, "left_semi")
+    p_common = p_sets.select(*own).join(k_sets.select(*value), value, "left_semi")
     k_both = (
-        salted_join(sets, k_keys.select("number", "code", "recall", "copies"), ["number"], ["x"])
+        salted_join(k_common, k_keys.select("number", "code", "recall", "copies"), ["number", "code"], ["x"])
         .groupBy("x", "code", "kind", "recall")
         .agg(F.sum(n).alias("k"))
     )
-    p_both = salted_join(sets, p_keys, ["number"], ["x"])
+    p_both = salted_join(p_common, p_keys, ["number", "code"], ["x"])
     both = (
         hot_salted_join(p_both, k_both, ["x", "code", "kind", "recall"], hot, ["number"])
         .groupBy("number", "code", "kind")
@@ -205,30 +209,34 @@ def _shared_terms(devices: DataFrame, sets: DataFrame, tuples: DataFrame) -> Dat
 def _recall_events(devices: DataFrame, tuples: DataFrame) -> DataFrame:
     """Per device number: distinct recall events of its own and of all clearances it pairs with.
 
-    Devices with the same set of codes share the clearances' part, so that is counted once per code set. The set of
-    codes of one number is bounded by the product-code dimension.
+    The events of a code are counted once. A number's own figure is the sum over its codes, less what events under
+    several of its codes count too often, plus its own events that none of its codes has.
     """
     events = tuples.select("number", F.col("recall.res_event_number").alias("event")).filter(F.col("event").isNotNull())
     events = events.distinct()
     coded = devices.filter(F.col("number").isNotNull() & F.col("code").isNotNull())
-    k_codes = coded.filter(F.col("role") == CLEARANCE).select("number", "code")
+    k_codes = coded.filter(F.col("role") == CLEARANCE).select("number", "code").distinct()
     code_events = salted_join(events, k_codes, ["number"], ["event"]).select("code", "event").distinct()
-    sets_of = (
-        coded.filter(F.col("role") == APPROVAL)
-        .groupBy("number")
-        .agg(F.array_sort(F.collect_set("code")).alias("codes"))
-    )
-    code_sets = sets_of.select("codes").distinct().withColumn("code", F.explode("codes"))
-    set_events = salted_join(code_events, code_sets, ["code"], ["event"]).select("codes", "event").distinct()
-    per_set = set_events.groupBy("codes").agg(F.count("*").alias("n_set"))
-    own = salted_join(events, sets_of, ["number"], ["event"])
-    unseen = salted_join(own, set_events, ["codes", "event"], ["number"], "left_anti")
-    new = unseen.groupBy("number").agg(F.count("*").alias("n_new"))
-    return (
-        sets_of.join(per_set, "codes", "left")
-        .join(new, "number", "left")
-        .select("number", (F.coalesce("n_set", F.lit(0)) + F.coalesce("n_new", F.lit(0))).alias("n_all"))
-    )
+    codes = coded.filter(F.col("role") == APPROVAL).select("number", "code").distinct()
+    numbers = codes.groupBy("number").agg(F.count("*").alias("n_codes"))
+
+    per_code = code_events.groupBy("code").agg(F.count("*").alias("n"))
+    summed = codes.join(per_code, "code").groupBy("number").agg(F.sum("n").alias("n_sum"))
+    repeated = code_events.groupBy("event").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("event")
+    several = codes.join(numbers.filter(F.col("n_codes") > 1), "number", "left_semi")
+    met = salted_join(code_events.join(repeated, "event", "left_semi"), several, ["code"], ["event"])
+    met = met.groupBy("number", "event").agg(F.count("*").alias("n"))
+    twice = met.groupBy("number").agg(F.sum(F.col("n") - 1).alias("n_twice"))
+
+    own = salted_join(events, numbers.select("number"), ["number"], ["event"], "left_semi")
+    seen = salted_join(own, codes, ["number"], ["event"]).join(code_events, ["code", "event"], "left_semi")
+    seen = seen.select("number", "event").distinct().groupBy("number").agg(F.count("*").alias("n_seen"))
+    own = own.groupBy("number").agg(F.count("*").alias("n_own"))
+    joined = numbers.select("number")
+    for part in (summed, twice, own, seen):
+        joined = joined.join(part, "number", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return joined.select("number", (zero("n_sum") - zero("n_twice") + zero("n_own") - zero("n_seen")).alias("n_all"))
 
 
 def _least(*cols: str) -> Column:
