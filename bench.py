@@ -2,7 +2,8 @@
 
 Each query runs once to warm up and BENCH_RUNS times for the record (median kept); its rows are computed and thrown
 away. Queries that build scores run their whole plan from the tables each time. Queries on published scores read the
-score table, which the first of them writes; that write is reported as `publish` and has warmed up the score builders.
+score table, and the classifier's reports one model; writing the one and training the other, once, are reported as
+`publish` and `train` and are part of the total.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -47,11 +49,12 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="recall-lens-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     names = ONLY or list(registered.QUERIES)
-    seconds = {"publish": timed(lambda: registered.published(spark, FOLDER))}
+    seconds = {"publish": timed(lambda: registered.published(spark, FOLDER)), "train": timed(lambda: registered.trained(spark, FOLDER))}
     for name in names:
         query = registered.QUERIES[name]
         if name not in WARMED_BY_PUBLISH:
@@ -60,8 +63,8 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "total wall time of the registered queries, warm, median of runs, without publish",
-                "value": round(sum(seconds[n] for n in names), 3),
+                "metric": "total wall time of publishing, training and the registered queries, warm, median of runs",
+                "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": {n: round(s, 3) for n, s in seconds.items()},
                 "sf": Path(FOLDER).name.removeprefix("sf"),
