@@ -69,7 +69,7 @@ def forecast(
 ) -> DataFrame:
     """Forecast of every category: month end, value, and bounds at 0.7 and 1.3 of it."""
     if method not in METHODS:
-        raise ValueError(f"Unknown method: {method}")
+        raise ValueError(f"no such method: {method}")
     values = _rescued(monthly_spine(series, alignment))
     recent = F.col("from_end") <= 3
     position = F.col("length") - F.col("from_end")

@@ -13,6 +13,7 @@ from recall_lens.operators.scoring import SCORED_COLUMNS
 
 KEY = "PMA_PMN_NUM"
 SNAPSHOT_ROWS = 50_000
+# The columns of the snapshot file, in its order.
 SNAPSHOT_COLUMNS = (
     "PMA_PMN_NUM",
     "rpss",

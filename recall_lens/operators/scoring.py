@@ -22,6 +22,7 @@ FEATURES = (
     ("device_class_raw", "device_class_score"),
 )
 
+# The columns of a scoring run.
 SCORED_COLUMNS = (
     "PMA_PMN_NUM",
     "recall_count",

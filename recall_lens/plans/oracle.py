@@ -526,6 +526,11 @@ FROM scored WHERE rpss_category IS NOT NULL""",
     ),
     "ts_distributed": _select(SERIES, SERIES_BODY.format("series"), ("total_recalls",)),
     "ts_plain": _select(_plain("month", "strftime(d, '%Y-%m')"), SERIES_BODY.format("plain"), ("total_recalls",)),
+    "ts_text_dates": _select(
+        _plain("month", "strftime(d, '%Y-%m')").replace("FROM dated", "FROM dated WHERE recall_count > 0"),
+        SERIES_BODY.format("plain"),
+        ("total_recalls",),
+    ),
     "ts_quarterly": _select(
         _plain("quarter", "strftime(d, '%Y') || 'Q' || quarter(d)"), SERIES_BODY.format("plain"), ("total_recalls",)
     ),
@@ -565,6 +570,33 @@ UNION ALL SELECT 'forecast', category, date, forecasted_recalls, lower_bound, up
         ("recalls", "lower_bound", "upper_bound"),
     ),
     "clean_text": f"SELECT doc_id, {_clean('text')}, {_clean('source')} FROM documents",
+    "ingest_delimited": """SELECT 'K' || p_partkey AS KNUMBER, p_name AS DEVICENAME, upper(p_brand) AS PRODUCTCODE,
+  p_type AS APPLICANT, CAST(DATE '2020-01-01' + CAST(p_size AS INTEGER) AS DATE) AS DECISIONDATE FROM part""",
+    "ingest_recalls": """SELECT CAST(o_orderkey AS VARCHAR) AS cfres_id,
+  'K' || o_custkey || CASE WHEN o_orderkey % 2 = 0 THEN ',K' || (o_custkey + 1) ELSE '' END AS k_numbers,
+  CAST(o_orderdate AS DATE) AS event_date_initiated FROM orders""",
+    "eval_confusion": """SELECT a AS actual, p AS predicted,
+  (SELECT count(*) FROM labels WHERE quality = a AND toxic = p) AS rows
+  FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS cells(a, p)""",
+    "eval_report": """WITH c AS (
+  SELECT CAST(count(*) FILTER (quality = 0 AND toxic = 0) AS DOUBLE) AS n00,
+         CAST(count(*) FILTER (quality = 0 AND toxic = 1) AS DOUBLE) AS n01,
+         CAST(count(*) FILTER (quality = 1 AND toxic = 0) AS DOUBLE) AS n10,
+         CAST(count(*) FILTER (quality = 1 AND toxic = 1) AS DOUBLE) AS n11 FROM labels
+), r AS (
+  SELECT 'No Recall' AS metric, n00 / (n00 + n10) AS precision, n00 / (n00 + n01) AS recall, n00 + n01 AS support FROM c
+  UNION ALL SELECT 'Has Recall', n11 / (n11 + n01), n11 / (n11 + n10), n10 + n11 FROM c
+), f AS (SELECT *, 2 * precision * recall / (precision + recall) AS value FROM r)
+SELECT metric, round(precision, 6) AS precision, round(recall, 6) AS recall, round(value, 6) AS value,
+       CAST(support AS BIGINT) AS support FROM (
+  SELECT metric, precision, recall, value, support FROM f
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(value), sum(support) FROM f
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                   sum(value * support) / sum(support), sum(support) FROM f
+  UNION ALL SELECT 'accuracy', NULL, NULL, (n00 + n11) / (n00 + n01 + n10 + n11), n00 + n01 + n10 + n11 FROM c
+  UNION ALL SELECT 'auc', NULL, NULL,
+                   (n11 * n00 + (n11 * n01 + n10 * n00) / 2) / ((n10 + n11) * (n00 + n01)), n00 + n01 + n10 + n11 FROM c
+)""",
     "clean_dates": """SELECT o_orderkey, CASE WHEN o_orderkey % 16 <> 15
   THEN CAST(o_orderdate AS DATE) END AS order_day FROM orders""",
     "truncate_columns": """SELECT doc_id, substr(concat_ws('/', source, lang, md5(text)), 1, 20) AS KNUMBER,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,10 @@ from recall_lens.operators.analytics import DeviceFilter
 from recall_lens.operators.integration import integrated_view
 from recall_lens.operators.rollup import device_rollup, device_rollup_exact
 from recall_lens.operators.scoring import FEATURES, score_components
-from recall_lens.operators.skew import stage
+from recall_lens.operators.skew import shared_folder, stage
 from recall_lens.plans.refresh import score
+from recall_lens.sources import recall_feed
+from recall_lens.sources.delimited import DelimitedFeed, read_feeds
 from recall_lens.sources.testdata import Feeds, feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +117,13 @@ def _series(scored: DataFrame) -> DataFrame:
     return timeseries.spread_series(_dated(scored))
 
 
+def _text_dates(scored: DataFrame) -> DataFrame:
+    """The dates as text in one of two layouts; devices without recalls carry a text that is no date."""
+    odd = F.length("PMA_PMN_NUM") % 2 == 1
+    text = F.when(odd, F.date_format("last_scored", "dd-MMM-yyyy")).otherwise(F.date_format("last_scored", "MM/dd/yyyy"))
+    return _dated(scored).withColumn("last_scored", F.when(F.col("recall_count") > 0, text).otherwise(F.lit("31/31/2024")))
+
+
 def _forecast(method: str, alignment: str = "month_start") -> Query:
     return _on_scores(lambda s: forecasting.forecast(_series(s), PERIODS, method, alignment))
 
@@ -184,6 +194,42 @@ def flat_recalls(spark: SparkSession, folder: str) -> DataFrame:
     return recall.select(*[clean_json_value(F.col(f.name), f.dataType).alias(f.name) for f in recall.schema])
 
 
+# --- feeds written and read back ---------------------------------------------------------------------------------
+
+
+def _feed_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/feeds/{uuid.uuid4().hex}"
+
+
+def ingest_delimited(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts written as delimited clearances, in two column orders, and read through the feed reader."""
+    part, root = _read(spark, folder, "part"), _feed_folder(spark)
+    columns = {
+        "KNUMBER": F.concat(F.lit(" k"), F.col("p_partkey")),
+        "DEVICENAME": F.col("p_name"),
+        "PRODUCTCODE": F.lower("p_brand"),
+        "APPLICANT": F.col("p_type"),
+        "DECISIONDATE": F.date_format(F.date_add(F.lit("2020-01-01"), F.col("p_size")), "MM/dd/yyyy"),
+    }
+    for odd, names_ in ((0, list(columns)), (1, list(columns)[::-1])):
+        rows = part.filter(F.col("p_partkey") % 2 == odd).select(*[columns[c].alias(c) for c in names_])
+        rows.write.option("header", True).option("sep", "|").csv(f"{root}/{odd}")
+    return read_feeds(spark, [DelimitedFeed("premarket_510k", f"{root}/*/*.csv")])["premarket_510k"].select(*columns)
+
+
+def ingest_recalls(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders written as recalls, one a line, their numbers as a list or as one text, and read through the reader."""
+    orders, path = _read(spark, folder, "orders"), _feed_folder(spark)
+    number = lambda c: F.concat(F.lit("k"), c.cast("string"))
+    day = F.date_format("o_orderdate", "yyyyMMdd").alias("event_date_initiated")
+    one = F.to_json(F.struct(F.col("o_orderkey").alias("cfres_id"), number(F.col("o_custkey")).alias("k_numbers"), day))
+    two = F.array(number(F.col("o_custkey")), number(F.col("o_custkey") + 1))
+    two = F.to_json(F.struct(F.col("o_orderkey").alias("cfres_id"), two.alias("k_numbers"), day))
+    orders.select(F.when(F.col("o_orderkey") % 2 == 0, two).otherwise(one).alias("value")).write.text(path)
+    recalls = recall_feed.clean_recalls(recall_feed.read_lines(spark, path))
+    return recalls.select("cfres_id", F.array_join("k_numbers", ",").alias("k_numbers"), "event_date_initiated")
+
+
 # --- classifier --------------------------------------------------------------------------------------------------
 
 
@@ -220,6 +266,21 @@ def ml_confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return classify.confusion_matrix(trained(spark, folder)[1])
 
 
+def _labelled(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality as the label and toxicity as the prediction: reports on them need no model."""
+    labels = _read(spark, folder, "labels").filter("quality IS NOT NULL AND toxic IS NOT NULL")
+    guess = F.col("toxic").cast("double")
+    return labels.select(F.col("quality").alias(classify.LABEL), guess.alias("prediction"), guess.alias("rawPrediction"))
+
+
+def eval_confusion(spark: SparkSession, folder: str) -> DataFrame:
+    return classify.confusion_matrix(_labelled(spark, folder))
+
+
+def eval_report(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(classify.metrics(_labelled(spark, folder)))
+
+
 def _top_list(high_risk_only: bool) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         scored = published(spark, folder)
@@ -269,6 +330,7 @@ QUERIES: dict[str, Query] = {
     ),
     "ts_distributed": _on_scores(_series),
     "ts_plain": _on_scores(lambda s: timeseries.plain_series(_dated(s))),
+    "ts_text_dates": _on_scores(lambda s: timeseries.plain_series(_text_dates(s))),
     "ts_quarterly": _on_scores(lambda s: timeseries.plain_series(_dated(s), freq="Q")),
     "ts_padded": _on_scores(_padded),
     "trailing_mean": _on_scores(lambda s: timeseries.trailing_mean(_series(s))),
@@ -290,6 +352,10 @@ QUERIES: dict[str, Query] = {
     "numeric_coerce": coerced_numbers,
     "clean_json": cleaned_json,
     "flat_recalls": flat_recalls,
+    "ingest_delimited": ingest_delimited,
+    "ingest_recalls": ingest_recalls,
+    "eval_confusion": eval_confusion,
+    "eval_report": eval_report,
     "ml_features": _on_scores(classify.feature_table),
     "ml_split": ml_split,
     "ml_predictions": ml_predictions,
