@@ -262,6 +262,12 @@ def ml_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(classify.metrics(trained(spark, folder)[1]))
 
 
+def ml_metrics_boosted(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of a gradient-boosted model of few trees, trained for this query alone."""
+    _, tested = classify.train(published(spark, folder), model_type="gradient_boosting", trees=5)
+    return rounded(classify.metrics(tested))
+
+
 def ml_confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return classify.confusion_matrix(trained(spark, folder)[1])
 
@@ -361,6 +367,7 @@ QUERIES: dict[str, Query] = {
     "ml_predictions": ml_predictions,
     "ml_feature_importance": ml_feature_importance,
     "ml_metrics": ml_metrics,
+    "ml_metrics_boosted": ml_metrics_boosted,
     "ml_confusion_matrix": ml_confusion_matrix,
     "ml_high_risk_count": ml_high_risk_count,
     "ml_top20": _top_list(high_risk_only=False),

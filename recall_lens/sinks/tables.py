@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,8 +41,8 @@ def _versions(spark: SparkSession, root: str) -> DataFrame | None:
     """Markers of finished versions; a version without one is a failed run and is passed over."""
     try:
         return spark.read.schema("version string").json(f"{root}/_finished")
-    except Exception as error:  # the folder appears with the first finished version
-        if "PATH_NOT_FOUND" in str(error):
+    except AnalysisException as error:  # the folder appears with the first finished version
+        if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
@@ -60,7 +62,8 @@ def write_version(
 ) -> DataFrame:
     """Merge into the newest version and write the result beside it: readers of the old one are not disturbed.
 
-    The table being read is never overwritten. The version counts once its marker is written, after the data.
+    The table being read is never overwritten. The version counts once its marker is written, after the data. Two runs at
+    once write folders of their own; the one whose name sorts last is read from then on.
     """
     newest = current_version(spark, root)
     if newest is None:
@@ -69,9 +72,9 @@ def write_version(
         number = 1
     else:
         merged = merge(spark.read.parquet(f"{root}/{newest}"))
-        number = int(newest.removeprefix("v")) + 1
-    version = f"v{number:010d}"
-    scored_view(merged).write.mode("overwrite").parquet(f"{root}/{version}")
+        number = int(newest.removeprefix("v").partition("-")[0]) + 1
+    version = f"v{number:010d}-{uuid.uuid4().hex[:12]}"
+    scored_view(merged).write.mode("error").parquet(f"{root}/{version}")
     spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("append").json(f"{root}/_finished")
     published = spark.read.parquet(f"{root}/{version}")
     replace_view(published, view)

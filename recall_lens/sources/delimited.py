@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,8 +90,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path or pattern has any file; works on every file system the session can read."""
     try:
         return not spark.read.format("binaryFile").load(path).select("path").isEmpty()
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
 

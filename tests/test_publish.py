@@ -54,7 +54,7 @@ def test_versions_never_overwrite_what_is_read(spark, tmp_path):
     write_version(spark, root, lambda t: upsert_scores(t, second, NEW), second, NEW, "device_rpss_test")
     found = {r["PMA_PMN_NUM"]: (r["rpss"], r["last_scored"]) for r in spark.table("device_rpss_test").collect()}
     assert found == {"a": (0.1, OLD), "b": (0.7, NEW), "c": (0.3, NEW)}
-    assert read_scores(spark, f"{root}/v0000000001", ["PMA_PMN_NUM"]).count() == 2
+    assert read_scores(spark, f"{root}/v0000000001-*", ["PMA_PMN_NUM"]).count() == 2
 
 
 def test_append_and_refresh(spark, tmp_path):
