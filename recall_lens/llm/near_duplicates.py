@@ -2,14 +2,16 @@
 
 1. Each text becomes its set of word shingles, a MinHash signature of it and the keys of its bands. Texts with equal sets
    are one class from here on, whatever their number.
-2. Classes that share a band key are in one bucket. Within a bucket not all pairs are formed: leaders, the classes that
-   share most buckets with others, are compared with the members that are not yet in their component. A leader then
-   leaves the bucket, and a bucket whose members are all in one component is done. The number of leaders grows by rounds
-   until no bucket is left, so every candidate pair is either compared or already joined through others.
+2. Classes that share a band key are in one bucket. First the leader of each bucket, the class that shares most buckets
+   with others, is compared with its members: a group of copies of one text joins up through that text. A bucket whose
+   members are all in one component is done.
 3. A pair is compared by batches of its signatures (sequential Bayesian verification): after each batch it is dropped if
-   the posterior chance that its similarity reaches the threshold is below the chosen miss probability.
-4. Survivors are verified on their full sets, read from the whole texts. Components of the links are found by star
-   contractions.
+   the posterior chance that its similarity reaches the threshold is below the chosen miss probability. Survivors are
+   verified on their full sets, read from the whole texts.
+4. The buckets that are left are settled exactly, in tiles of bounded size: in a task, all pairs of the tile that are
+   not joined yet are compared and verified in the same way, and only links that join something come out. So every
+   candidate pair is either verified or already joined through others, and no list of pairs is ever written.
+5. Components of the links are found by star contractions.
 """
 
 from __future__ import annotations
@@ -39,10 +41,10 @@ MISS = 1e-5
 #: Chance at which a pair that reaches the threshold may be dropped by its signature.
 PRUNE = 1e-6
 BANDS = math.ceil(math.log(MISS) / math.log(1 - (PERCENT / 100) ** ROWS))
-#: Leaders of a bucket in the first round, and their growth.
-LEADERS, GROWTH = 1, 8
 #: Members that one task verifies against a leader at a time.
 GROUP = 256
+#: Members of a bucket in each half of a tile.
+TILE = 768
 
 _rng = np.random.default_rng(11)
 _TIMES = _rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -144,6 +146,14 @@ def compared(pairs: DataFrame, signs: DataFrame) -> DataFrame:
     return joined.mapInArrow(prune, "leader binary, key binary")
 
 
+def linked(one: np.ndarray, two: np.ndarray) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if 100 * min(len(one), len(two)) < PERCENT * max(len(one), len(two)):
+        return False
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * both >= PERCENT * (len(one) + len(two) - both)
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Of `pairs` (leader, key) those whose full sets of shingles reach the threshold; `texts` has key and text.
 
@@ -161,18 +171,56 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             return m[["leader", "key"]].head(0)
         own = shingles(lead["lead_text"].iloc[0].encode())
 
-        def linked(text: str) -> bool:
-            other = shingles(text.encode())
-            if 100 * min(len(own), len(other)) < PERCENT * max(len(own), len(other)):
-                return False
-            both = len(np.intersect1d(own, other, assume_unique=True))
-            return 100 * both >= PERCENT * (len(own) + len(other) - both)
-
-        return m.loc[[linked(t) for t in m["text"]], ["leader", "key"]]
+        return m.loc[[linked(own, shingles(t.encode())) for t in m["text"]], ["leader", "key"]]
 
     return members.groupBy("leader", "part").cogroup(leaders.groupBy("lead", "lead_part")).applyInPandas(check, "leader binary, key binary")
 
 
+def settled(members: DataFrame, roots: DataFrame, signs: DataFrame, texts: DataFrame, staging: Staging) -> DataFrame:
+    """u and v, roots that links join, of the buckets of `members` whose members have different `roots`.
+
+    A bucket is dealt into parts of about TILE members, and each pair of parts is a tile, so every pair of members meets
+    in one. Within a tile pairs of one root are skipped, and what links join counts as one root from then on.
+    """
+    placed = members.join(roots, "key")
+    open_ = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
+    rows = placed.join(open_, "bucket").withColumn("parts", F.ceil(F.col("n") / TILE).cast("int"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    others = F.sequence(F.lit(0), F.col("parts") - 1)
+    rows = rows.withColumn("other", F.explode(F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(others)))
+    rows = rows.select("bucket", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", "key", "root")
+    full = rows.join(signs.select("key", "signature"), "key").join(texts, "key")
+
+    def settle(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("key", ignore_index=True)
+        signatures = np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(len(rows), -1)
+        sets: dict[int, np.ndarray] = {}
+        names, at = np.unique(rows["root"].to_numpy(), return_inverse=True)
+        group = at.copy()  # the group each row is in by now
+        across, part, first = rows["a"].iloc[0] != rows["b"].iloc[0], rows["part"].to_numpy(), rows["a"].iloc[0]
+        out = []
+
+        def set_of(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingles(rows["text"].iloc[i].encode())
+            return sets[i]
+
+        for i in range(len(rows)):
+            if across and part[i] != first:
+                continue
+            later = part != first if across else np.arange(len(rows)) > i
+            others = np.flatnonzero(later & (group != group[i]))
+            if len(others):
+                others = others[survives(np.broadcast_to(signatures[i], (len(others), signatures.shape[1])), signatures[others])]
+            for j in others:
+                if group[i] != group[j] and linked(set_of(i), set_of(int(j))):
+                    out.append((names[at[i]], names[at[j]]))
+                    group[group == group[j]] = group[i]
+        return pd.DataFrame(out, columns=["u", "v"])
+
+    return staging.table(full.groupBy("bucket", "a", "b").applyInPandas(settle, "u binary, v binary").distinct(), "joins")
+
+
 def group(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links, itself included), kept (whether that
     is its own doc_id), and the columns of `carry`, of every row of `docs` (doc_id, text).
@@ -188,35 +236,25 @@ def group(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
 
     places = classes.select("key", F.explode("bands").alias("bucket"))
     shared = places.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = staging.table(places.join(shared, "bucket"), "members-all")
-    weight = members.groupBy("key").agg(F.sum(F.col("n") - 1).alias("weight"))
-    known = staging.table(weight, "weights")
-    signs = staging.table(classes.join(known.select("key"), "key", "left_semi").select("key", "doc", "signature"), "signs")
+    members = staging.table(places.join(shared, "bucket"), "members")
+    weights = members.groupBy("key").agg(F.sum(F.col("n") - 1).alias("weight"))
+    signs = staging.table(classes.select("key", "doc", "signature").join(weights, "key"), "signs")
     texts = staging.table(_texts(docs, signs), "texts")
-    members = members.select("bucket", "key")
-    roots = known.select("key", F.col("key").alias("root"))
-
-    leaders, turn = LEADERS, 0
-    while True:
-        turn += 1
-        placed = members.join(known.join(roots, "key"), "key")
-        spans = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-        members = staging.table(placed.join(spans, "bucket"), f"members-{turn}")
-        if members.isEmpty():
-            break
-        order = Window.partitionBy("bucket").orderBy(F.desc("weight"), F.desc("key"))
-        heads = members.withColumn("r_", F.row_number().over(order)).where(F.col("r_") <= leaders).drop("r_")
-        heads = staging.table(heads.select("bucket", F.col("key").alias("leader"), F.col("root").alias("leader_root"), F.col("weight").alias("leader_weight")), f"leaders-{turn}")
-        before = (F.col("weight") < F.col("leader_weight")) | ((F.col("weight") == F.col("leader_weight")) & (F.col("key") < F.col("leader")))
-        pairs = members.join(heads, "bucket").where(before & (F.col("root") != F.col("leader_root"))).select("leader", "key").distinct()
-        links = staging.table(verified(staging.table(compared(pairs, signs), f"pairs-{turn}"), texts), f"links-{turn}")
-        members = members.select("bucket", "key").join(heads.select("bucket", F.col("leader").alias("key")), ["bucket", "key"], "left_anti")
-        if not links.isEmpty():
-            edges = links.join(roots.select(F.col("key").alias("leader"), F.col("root").alias("u")), "leader").join(roots.withColumnRenamed("root", "v"), "key")
-            moved = components(edges.select("u", "v"), staging, f"edges-{turn}")
-            joined = roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left")
-            roots = staging.table(joined.select("key", F.coalesce("new", "root").alias("root")), f"roots-{turn}")
-        leaders *= GROWTH
+
+    weighed = members.join(signs.select("key", "weight"), "key")
+    leaders = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "key"))["key"].alias("leader"))
+    pairs = members.join(leaders, "bucket").where("key <> leader").select("leader", "key").distinct()
+    links = verified(staging.table(compared(pairs, signs), "pairs"), texts)
+    links = staging.table(links.select(F.col("leader").alias("u"), F.col("key").alias("v")), "links")
+    found = components(links, staging, "edges")
+    roots = signs.select("key").join(found.withColumnRenamed("node", "key"), "key", "left").select("key", F.coalesce("root", "key").alias("root"))
+    roots = staging.table(roots, "roots")
+
+    more = settled(members, roots, signs, texts, staging)
+    if not more.isEmpty():
+        found = components(more, staging, "more-edges")
+        joined = roots.join(found.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left")
+        roots = joined.select("key", F.coalesce("new", "root").alias("root"))
 
     rooted = classes.select("key", "doc").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = rooted.groupBy("root").agg(F.min("doc").alias("component_id"))

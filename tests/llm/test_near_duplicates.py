@@ -53,8 +53,10 @@ def edited(words, share, rng):
     return [f"e{rng.randrange(10**9)}" if rng.random() < share else w for w in words]
 
 
-def test_stars_chains_and_texts_that_nearly_match(spark):
+@pytest.mark.parametrize("tile", [near_duplicates.TILE, 7])
+def test_stars_chains_and_texts_that_nearly_match(spark, monkeypatch, tile):
     """Copies that link to their source only, chains of small steps, and a large bucket in which little links."""
+    monkeypatch.setattr(near_duplicates, "TILE", tile)
     rng, rows = random.Random(4), []
     base = [f"b{k}" for k in range(400)]
     rows += [" ".join(edited(base, 0.02, rng)) for _ in range(60)] + [" ".join(base)]
