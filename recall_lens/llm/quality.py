@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from recall_lens.llm.staging import Staging
 
-#: Rows at most on which cost and selectivity are estimated.
+#: Rows on which cost and selectivity are estimated, about.
 SAMPLE_ROWS = 2_000
 WINDOW = 8
 _BLANK = " \t\n\x0b\x0c\r"
@@ -102,14 +102,13 @@ def standard_rules() -> list[Rule]:
     ]
 
 
-def estimate(measured: DataFrame, rules: list[Rule], rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
-    """Each rule with its seconds and the share it rejects, on `rows` rows of `measured` at most, given as a lazy plan.
+def estimate(sample: DataFrame, rules: list[Rule]) -> list[tuple[Rule, float, float]]:
+    """Each rule with its seconds and the share it rejects of `sample`, a lazy plan of the measures over few documents.
 
-    The sample's documents are written once; each rule then computes the measures that it needs, and no others, from
-    the texts. An empty sample gives every rule a share of 0.
+    Each rule computes the measures that it needs, and no others, from the texts. An empty sample gives every rule a
+    share of 0.
     """
     out = []
-    sample = measured.limit(rows)
     for rule in rules:
         began = time.perf_counter()
         got = sample.agg(F.count_if(~F.coalesce(rule.holds, F.lit(False))).alias("bad"), F.count("*").alias("n")).first()
@@ -138,6 +137,7 @@ def judge(docs: DataFrame, rules: list[Rule] | None = None, sample_rows: int = S
     """
     rules = rules or standard_rules()
     staging = Staging(docs.sparkSession, "quality")
-    sample = staging.table(docs.select("doc_id", "text").limit(sample_rows), "sample")
-    ordered = order(estimate(measure(sample), rules, sample_rows))
+    share = min(1.0, sample_rows / max(1, docs.count()))
+    sample = staging.table(docs.select("doc_id", "text").sample(share, seed=1), "sample")
+    ordered = order(estimate(measure(sample), rules))
     return cascade(measure(docs.select("doc_id", "text")), ordered).drop("text")
