@@ -39,7 +39,7 @@ Piece = tuple[int, int]  # first and last-but-one place in the text
 
 
 class Pieces:
-    """The vocabulary, and the words a worker has met (about 100 MB)."""
+    """The vocabulary, and the words a worker has met (about 75 MB)."""
 
     _units = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n[^{BLANK}\n]*")
     _odd = re.compile(f"  | \n|^ | $|^\n|{BLANK}")

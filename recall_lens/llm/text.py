@@ -11,8 +11,8 @@ import numpy as np
 import pyarrow as pa
 from xxhash import xxh3_64_intdigest
 
-#: Words whose hash a Python worker remembers (about 60 MB); others are hashed each time they come.
-CACHE_WORDS = 300_000
+#: Words whose hash a Python worker remembers (about 40 MB); others are hashed each time they come.
+CACHE_WORDS = 200_000
 
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _MASK = (1 << 64) - 1

@@ -138,9 +138,9 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Ordi
 
 
 class _Weights(dict):
-    """Buckets with a weight of each raw word met; a worker remembers so many (about 40 MB)."""
+    """Buckets with a weight of each raw word met; a worker remembers so many (about 30 MB)."""
 
-    most = 300_000
+    most = 200_000
 
     def __init__(self, weights: dict[int, float]) -> None:
         self.weights = weights

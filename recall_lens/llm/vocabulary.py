@@ -16,8 +16,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 from tokenizers import Tokenizer, pre_tokenizers  # noqa: E402
 
-#: Words remembered by one worker: about 120 MB.
-REMEMBERED = 400_000
+#: Words remembered by one worker: about 90 MB.
+REMEMBERED = 300_000
 #: Words encoded as one text.
 JOINED = 200
 
