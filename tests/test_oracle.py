@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 import duckdb
@@ -9,9 +10,12 @@ import pytest
 
 import __spark_entry__ as entry_point
 from compare import duck_records, same_rows
+from recall_lens.plans import queries as plans
 
 FOLDER = entry_point.SMOKE_FOLDER
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
+# the operators for training data have tests of their own
+OWN = [n for n in entry_point.queries() if n not in plans.QUERIES]
+QUERIES, ORACLE = plans.QUERIES, entry_point.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables absent")
 
@@ -24,7 +28,12 @@ def tables():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_registered_names():
+    assert set(plans.QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.queries())
+    assert all(n == "pipeline" or re.match(r"op\d+_", n) for n in OWN)
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLE) & set(QUERIES)))
 def test_equals_sql(spark, tables, name):
     records = duck_records(tables, ORACLE[name])
     found = QUERIES[name](spark, FOLDER)
