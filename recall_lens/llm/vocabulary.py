@@ -81,9 +81,9 @@ class WordIds:
         if missing := words.difference(self.known):
             self._learn(missing)
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text, as by the tokenizer without added special tokens."""
-        lists = [self.split(t) for t in texts]
+    def encode(self, texts: list[bytes], lists: list[list[bytes]] | None = None) -> list[bytes]:
+        """Ids of each text, as by the tokenizer without added special tokens. `lists` are its words, if at hand."""
+        lists = lists or [self.split(t) for t in texts]
         self.learn(lists)
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in lists]
