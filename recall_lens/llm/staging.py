@@ -34,9 +34,9 @@ class Staging:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
