@@ -238,14 +238,16 @@ def ml_split(spark: SparkSession, folder: str) -> DataFrame:
     return classify.stratified_split(prepared).select("PMA_PMN_NUM", "has_recall", "is_test")
 
 
-_trained: dict[tuple[str, str], tuple[classify.RecallClassifier, DataFrame]] = {}
+_trained: dict[tuple[str, str, str], tuple[classify.RecallClassifier, DataFrame]] = {}
 
 
-def trained(spark: SparkSession, folder: str) -> tuple[classify.RecallClassifier, DataFrame]:
-    """The classifier of a folder, trained once per session; all its reports come from that one training."""
-    key = (spark.sparkContext.applicationId, folder)
+def trained(
+    spark: SparkSession, folder: str, model_type: str = "random_forest"
+) -> tuple[classify.RecallClassifier, DataFrame]:
+    """The classifier of a folder, trained once per session and type; all its reports come from that one training."""
+    key = (spark.sparkContext.applicationId, folder, model_type)
     if key not in _trained:
-        _trained[key] = classify.train(published(spark, folder))
+        _trained[key] = classify.train(published(spark, folder), model_type=model_type)
     return _trained[key]
 
 
@@ -263,9 +265,8 @@ def ml_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ml_metrics_boosted(spark: SparkSession, folder: str) -> DataFrame:
-    """The report of a gradient-boosted model of few trees, trained for this query alone."""
-    _, tested = classify.train(published(spark, folder), model_type="gradient_boosting", trees=5)
-    return rounded(classify.metrics(tested))
+    """The report of the gradient-boosted model, of as many rounds as `train` gives it."""
+    return rounded(classify.metrics(trained(spark, folder, "gradient_boosting")[1]))
 
 
 def ml_confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import pytest
 
 from recall_lens.operators import classify
+from recall_lens.plans import queries
 
 SCHEMA = (
     "PMA_PMN_NUM string, recall_count long, total_adverse_events long, unique_manufacturers long, "
@@ -136,3 +137,13 @@ def test_features_take_either_manufacturer_column(spark):
     rows = {r["PMA_PMN_NUM"]: r for r in classify.feature_table(df).collect()}
     assert rows["a"]["log_manufacturers"] == pytest.approx(2.0794415416798357) and rows["a"]["has_recall"] == 1
     assert [rows["b"][c] for c in ("rpss", "device_class", "root_cause_encoded", "has_recall")] == [0, 0, 1, 0]
+
+
+def test_boosted_query_trains_all_rounds_once(spark, scored, monkeypatch):
+    made, estimator = [], classify._estimator
+    monkeypatch.setattr(classify, "_estimator", lambda *a: made.append(a[:2]) or estimator(a[0], min(a[1], 2), a[2]))
+    monkeypatch.setattr(queries, "published", lambda spark, folder: scored)
+    monkeypatch.setattr(queries, "_trained", {})
+    for _ in range(2):
+        assert queries.ml_metrics_boosted(spark, "boosted").count() == 6
+    assert set(made) == {("gradient_boosting", 100)} and len(queries._trained) == 1
