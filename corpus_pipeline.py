@@ -24,8 +24,12 @@ def _others(docs: DataFrame) -> tuple[str, ...]:
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language; those whose text is missing or has no letter go."""
-    found = language.identify(docs, language.learn(docs), _others(docs))
+    """Documents in some language; those whose text is missing or has no letter go. Which language the parse finds
+    rejects nothing, and where no row is labelled nothing is parsed."""
+    model = language.learn(docs)
+    if not model.samples:
+        return language.with_letter(docs)
+    found = language.identify(docs, model, _others(docs))
     return found.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
 
 

@@ -223,3 +223,14 @@ def identify(docs: DataFrame, languages: Languages, carry: tuple[str, ...] = ())
     rows = docs.select(F.col("doc_id").cast("long"), "text", *carry)
     schema = T.StructType([*T.StructType.fromDDL(_SCHEMA), *docs.select(*carry).schema])
     return rows.mapInArrow(predict, schema)
+
+
+def with_letter(docs: DataFrame) -> DataFrame:
+    """Rows of `docs` whose text has a letter, as `identify` sees letters."""
+    small_batches(docs.sparkSession)
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([bool(_letters()[code_points(t or "")].any()) for t in b.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

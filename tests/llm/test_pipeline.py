@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from recall_lens.llm import language, toxicity
 from tests.llm.test_near_duplicates import plain as plain_groups
@@ -53,3 +55,10 @@ def test_awkward_documents_pass_all_stages(spark, awkward, tmp_path):
     awkward.limit(0).write.parquet(f"{empty}/documents.parquet")
     spark.createDataFrame([], "doc_id long, toxic int, quality int").write.parquet(f"{empty}/labels.parquet")
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_unlabelled_documents_stay(spark, awkward):
+    unlabelled = awkward.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.keep_languages(spark, unlabelled, FOLDER)
+    assert kept.schema == unlabelled.schema
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([None, 4, 5, 6, 6, 7, 8, 9])
