@@ -29,9 +29,10 @@ from recall_lens.llm.text import batch
 #: Characters of labelled text that are learnt of a language at most, and from one document at most.
 SAMPLE_CHARS = 65_536
 DOCUMENT_CHARS = 4_096
-#: Languages that are learnt at most, the most frequent first, and characters learnt of all together at most.
-LANGUAGES = 200
-ALL_CHARS = 400_000
+#: Characters of the samples whose automata a worker holds at a time, and of the texts it parses against each such group
+#: where there are several.
+GROUP_CHARS = 400_000
+HELD_CHARS = 16_000_000
 #: Letters with a class of their own.
 LETTERS = 44
 CHUNK = 256
@@ -117,11 +118,25 @@ class Languages:
         return np.array([max(2, len(self.symbols(t))) for _, t in self.samples], float)
 
     @cached_property
-    def steps(self) -> tuple[np.ndarray, np.ndarray]:
-        """One table for all languages, and where each starts. An entry is twice the place of the next state's row,
-        plus one if a phrase starts with the symbol."""
+    def groups(self) -> list[range]:
+        """Neighbouring languages whose automata are held together."""
+        out, first, chars = [], 0, 0
+        for k, (_, text) in enumerate(self.samples):
+            if k > first and chars + len(text) > GROUP_CHARS:
+                out.append(range(first, k))
+                first, chars = k, 0
+            chars += len(text)
+        return [*out, range(first, len(self.samples))] if self.samples else []
+
+    def steps(self, group: range) -> tuple[np.ndarray, np.ndarray]:
+        """One table for the languages of a group, and where each starts. An entry is twice the place of the next state's
+        row, plus one if a phrase starts with the symbol. The group built last is remembered."""
+        held = self.__dict__.get("_held")
+        if held and held[0] == group:
+            return held[1]
+        self.__dict__.pop("_held", None)
         width, tables, starts, at = self.pad + 1, [], [], 0
-        for _, text in self.samples:
+        for _, text in self.samples[group.start : group.stop]:
             goes = suffix_automaton(self.symbols(text).tolist(), width)
             fresh = np.maximum(goes[0], 0)  # where a phrase goes that starts with the symbol
             new = goes < 0
@@ -131,7 +146,8 @@ class Languages:
             starts.append(at * width)
             at += len(goes)
             tables.append(table.astype(np.int32))
-        return np.concatenate(tables).ravel(), np.array(starts, np.int32)
+        self.__dict__["_held"] = group, (np.concatenate(tables).ravel(), np.array(starts, np.int32))
+        return self.__dict__["_held"][1]
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases (languages, texts) of texts given as symbols."""
@@ -143,18 +159,19 @@ class Languages:
         for first, s in zip((np.cumsum(n_chunks) - n_chunks) * CHUNK, texts, strict=True):
             grid[first : first + len(s)] = s
         grid = np.ascontiguousarray(grid.reshape(-1, CHUNK).T).astype(np.int32)
-        table, starts = self.steps
-        for k, start in enumerate(starts):  # one language's table at a time stays near the processor
-            state = np.full(grid.shape[1], start, np.int32)
-            found = np.zeros(grid.shape[1], np.int32)
-            for symbols in grid:
-                state += symbols
-                state = table.take(state)
-                found += state & 1
-                state >>= 1
-            whole = np.concatenate([[0], np.cumsum(found)])
-            ends = np.cumsum(n_chunks)
-            out[k] = whole[ends] - whole[ends - n_chunks]
+        ends = np.cumsum(n_chunks)
+        for group in self.groups:
+            table, starts = self.steps(group)
+            for k, start in zip(group, starts, strict=True):  # one language's table at a time stays near the processor
+                state = np.full(grid.shape[1], start, np.int32)
+                found = np.zeros(grid.shape[1], np.int32)
+                for symbols in grid:
+                    state += symbols
+                    state = table.take(state)
+                    found += state & 1
+                    state >>= 1
+                whole = np.concatenate([[0], np.cumsum(found)])
+                out[k] = whole[ends] - whole[ends - n_chunks]
         return out
 
     def judge(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
@@ -172,24 +189,19 @@ class Languages:
         return names, np.where(known, share, 0.0), np.where(known, least / np.maximum(size, 1), 0.0), size
 
 
-def _between(column: Column, rate: Column) -> Column:
-    """True for a share `rate` of the values, chosen by their hash."""
-    return F.pmod(F.xxhash64(column, F.lit("sample")), F.lit(1 << 30)) < rate * (1 << 30)
-
-
 def learn(docs: DataFrame, chars: int = SAMPLE_CHARS) -> Languages:
     """Samples of at most `chars` characters a language from `docs` (doc_id, text, lang).
 
-    Rows without text, lang or doc_id teach nothing. About four times the sample is gathered, by hash of doc_id, and
-    equal texts count once; what is gathered depends on the number of languages, not of documents.
+    Rows without text, lang or doc_id teach nothing. All other languages are learnt. Of each, about four times the sample
+    is gathered, the documents with the smallest hashes and one at least, and equal texts count once; what is gathered
+    depends on the number of languages, not of documents.
     """
-    known = docs.where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL AND lang <> 'und'").select("doc_id", "text", "lang")
-    sizes = known.groupBy("lang").agg(F.sum(F.least(F.length("text"), F.lit(DOCUMENT_CHARS))).alias("n")).where("n > 0").orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    found = sizes.collect()
-    chars = min(chars, ALL_CHARS // max(1, len(found)))
-    rates = docs.sparkSession.createDataFrame([(r.lang, 4.0 * chars / r.n) for r in found], "lang string, rate double")
-    picked = known.join(F.broadcast(rates), "lang").where(_between(F.col("doc_id"), F.col("rate")))
-    rows = picked.select("lang", "doc_id", F.substring("text", 1, DOCUMENT_CHARS).alias("text")).collect()
+    known = docs.where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL AND lang <> 'und' AND text <> ''")
+    known = known.select("doc_id", "text", "lang", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("place"))
+    sizes = known.groupBy("lang").agg(F.sum(F.least(F.length("text"), F.lit(DOCUMENT_CHARS))).alias("n"), F.min("place").alias("least"))
+    bounds = sizes.select("lang", F.greatest("least", F.lit(4.0 * chars * (1 << 30)) / F.col("n")).alias("bound"))
+    picked = known.join(F.broadcast(bounds), "lang").where("place <= bound")
+    rows = picked.select("lang", "doc_id", F.substring("text", 1, DOCUMENT_CHARS).alias("text")).distinct().collect()
     samples: dict[str, dict[str, None]] = {}
     taken: Counter[str] = Counter()
     for r in sorted(rows, key=lambda r: (r.lang, hash((r.doc_id, 1)), r.text)):
@@ -199,6 +211,20 @@ def learn(docs: DataFrame, chars: int = SAMPLE_CHARS) -> Languages:
     return Languages(tuple((lang, " ".join(texts)) for lang, texts in sorted(samples.items())))
 
 
+def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of HELD_CHARS bytes of text or more."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for b in batches:
+        held.append(b)
+        size += b.column(1).nbytes
+        if size >= HELD_CHARS:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 _LOADED: dict[Languages, Languages] = {}
 
 
@@ -215,7 +241,7 @@ def identify(docs: DataFrame, languages: Languages, carry: tuple[str, ...] = ())
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         model = _LOADED.setdefault(model, model)  # automata are built once a worker
-        for b in batches:
+        for b in batches if len(model.groups) < 2 else _gathered(batches):
             names, score, bits, size = model.judge([x or "" for x in b.column(1).to_pylist()])
             own = batch(_ARROW, [b.column(0), names, score, bits, size])
             yield pa.RecordBatch.from_arrays([*own.columns, *b.columns[2:]], names=[*_ARROW.names, *carry])

@@ -64,3 +64,33 @@ def test_awkward_documents(spark, awkward, nothing):
     untaught = language.learn(nothing)
     assert {r.lang_pred for r in language.identify(awkward, untaught).collect()} == {"und"}
     assert language.learn(docs.withColumn("lang", F.lit(None).cast("string"))).samples == ()
+
+
+def test_all_of_many_languages_are_learnt_and_found(spark):
+    rng = random.Random(7)
+    words = {k: ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(30)] for k in range(230)}
+    text = lambda k, n: " ".join(rng.choice(words[k]) for _ in range(n))
+    docs = spark.createDataFrame([(k, text(k, 900), f"l{k:03}") for k in words], "doc_id long, text string, lang string")
+    model = language.learn(docs)
+    assert model.names == [f"l{k:03}" for k in words]
+    assert min(len(t) for _, t in model.samples) > 4000  # as many characters each as of a language alone
+    asked = spark.createDataFrame([(k, text(k, 30)) for k in words], "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in language.identify(asked, model).collect()}
+    assert got == {k: f"l{k:03}" for k in words}
+
+
+def test_a_language_of_few_long_documents_has_a_sample(spark):
+    docs = spark.createDataFrame([(k, "word " * 2000, f"l{k % 40}") for k in range(200)], "doc_id long, text string, lang string")
+    assert len(language.learn(docs, 50).samples) == 40
+
+
+def test_groups_of_languages_parse_as_one(spark, awkward, monkeypatch):
+    rng = random.Random(8)
+    samples = tuple((name, "".join(rng.choice("abcdef ") for _ in range(300))) for name in "pqrst")
+    texts = ["".join(rng.choice("abcdefg ") for _ in range(400)) for _ in range(20)]
+    one = language.Languages(samples)
+    whole = one.judge(texts)
+    monkeypatch.setattr(language, "GROUP_CHARS", 650)
+    many = language.Languages(samples)
+    assert [len(g) for g in one.groups] == [5] and [len(g) for g in many.groups] == [2, 2, 1]
+    assert all(np.array_equal(a, b) for a, b in zip(whole, many.judge(texts), strict=True))
