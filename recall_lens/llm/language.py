@@ -29,6 +29,8 @@ from recall_lens.llm.text import batch
 #: Characters of labelled text that are learnt of a language at most, and from one document at most.
 SAMPLE_CHARS = 65_536
 DOCUMENT_CHARS = 4_096
+#: Stretches that are learnt of a longer document, one from each of so many equal parts of it.
+STRETCHES = 8
 #: Characters of the samples whose automata a worker holds at a time, and of the texts it parses against each such group
 #: where there are several.
 GROUP_CHARS = 400_000
@@ -189,6 +191,19 @@ class Languages:
         return names, np.where(known, share, 0.0), np.where(known, least / np.maximum(size, 1), 0.0), size
 
 
+def _stretches() -> Column:
+    """At most DOCUMENT_CHARS characters of a text: a longer one's STRETCHES, from places chosen by hash."""
+    width = DOCUMENT_CHARS // STRETCHES - 1  # and a blank
+    n = F.length("text").cast("long")
+
+    def stretch(k: int) -> Column:
+        first = F.floor(n * k / STRETCHES)
+        room = F.floor(n * (k + 1) / STRETCHES) - first - width + 1
+        return F.substring("text", (first + F.pmod(F.xxhash64("doc_id", F.lit(k)), room) + 1).cast("int"), F.lit(width))
+
+    return F.when(n <= DOCUMENT_CHARS, F.col("text")).otherwise(F.concat_ws(" ", *map(stretch, range(STRETCHES))))
+
+
 def learn(docs: DataFrame, chars: int = SAMPLE_CHARS) -> Languages:
     """Samples of at most `chars` characters a language from `docs` (doc_id, text, lang).
 
@@ -201,7 +216,7 @@ def learn(docs: DataFrame, chars: int = SAMPLE_CHARS) -> Languages:
     sizes = known.groupBy("lang").agg(F.sum(F.least(F.length("text"), F.lit(DOCUMENT_CHARS))).alias("n"), F.min("place").alias("least"))
     bounds = sizes.select("lang", F.greatest("least", F.lit(4.0 * chars * (1 << 30)) / F.col("n")).alias("bound"))
     picked = known.join(F.broadcast(bounds), "lang").where("place <= bound")
-    rows = picked.select("lang", "doc_id", F.substring("text", 1, DOCUMENT_CHARS).alias("text")).distinct().collect()
+    rows = picked.select("lang", "doc_id", _stretches().alias("text")).distinct().collect()
     samples: dict[str, dict[str, None]] = {}
     taken: Counter[str] = Counter()
     for r in sorted(rows, key=lambda r: (r.lang, hash((r.doc_id, 1)), r.text)):

@@ -94,3 +94,15 @@ def test_groups_of_languages_parse_as_one(spark, awkward, monkeypatch):
     many = language.Languages(samples)
     assert [len(g) for g in one.groups] == [5] and [len(g) for g in many.groups] == [2, 2, 1]
     assert all(np.array_equal(a, b) for a, b in zip(whole, many.judge(texts), strict=True))
+
+
+def test_a_sample_is_taken_from_all_over_a_long_document(spark):
+    opening = "licence " * 600  # 4,800 characters
+    docs = spark.createDataFrame([(k, opening + f"body{k} " * 6000, "x") for k in range(5)] + [(9, "short", "y")], "doc_id long, text string, lang string")
+    samples = dict(language.learn(docs).samples)
+    assert samples["y"] == "short" and all(samples["x"].count(f"body{k}") > 400 for k in range(5))
+    assert len(samples["x"]) <= 5 * language.DOCUMENT_CHARS + 4
+    assert samples["x"].count("licence") < 0.25 * samples["x"].count("body")
+    edge = [(k, "ab" * (language.DOCUMENT_CHARS // 2) + "c" * k, "x") for k in range(1, 20)]
+    edge = spark.createDataFrame(edge, "doc_id long, text string, lang string")
+    assert len(language.learn(edge).samples[0][1]) > language.DOCUMENT_CHARS // 2
