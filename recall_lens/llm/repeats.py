@@ -21,7 +21,7 @@ from collections.abc import Iterable, Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recall_lens.llm.staging import Staging, small_batches
@@ -70,17 +70,25 @@ def find_stretches(docs: DataFrame) -> DataFrame:
 
 
 def read_passages(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """gram, stretch, owner, later, mixed_ and words of each of `classes`, from its owner's text."""
+    """gram, stretch, owner, later, mixed_ and words of each of `classes`, from its owner's text. Rows of one doc_id may
+    differ in text, so there the stretch is checked."""
     per_doc = classes.groupBy("owner").agg(F.collect_list(F.struct("start", "n", "gram", "stretch", "later", "mixed")).alias("wanted"))
     texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("owner"), "text")
+    ids = docs.groupBy(F.col("doc_id").cast("long").alias("owner"))  # without the text, which would have to be read
+    repeated = ids.agg((F.count("*") > 1).alias("repeated")).where("repeated")
+    per_doc = per_doc.join(repeated, "owner", "left")
     schema = pa.schema([("owner", pa.int64()), ("gram", pa.int64()), ("stretch", pa.int64()), ("later", pa.bool_()), ("mixed", pa.bool_()), ("words", pa.string())])
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for owner, text, wanted in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for owner, text, wanted, repeated in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 words = text.encode().split()
+                if repeated:
+                    own = set(zip(*(c.tolist() for c in stretches(word_hashes(words))), strict=True))
+                    wanted = [w for w in wanted if (w["start"], w["n"], w["gram"], w["stretch"]) in own]
                 rows = [(owner, w["gram"], w["stretch"], w["later"], w["mixed"], b" ".join(words[w["start"] : w["start"] + w["n"] + SPAN - 1]).decode()) for w in wanted]
-                yield batch(schema, zip(*rows, strict=True))
+                if rows:
+                    yield batch(schema, zip(*rows, strict=True))
 
     return texts.join(per_doc, "owner").mapInArrow(read, "owner long, gram long, stretch long, later boolean, mixed boolean, words string")
 
@@ -151,6 +159,16 @@ class Automaton:
         return np.cumsum(steps[:-1]) > 0
 
 
+def salts(docs: DataFrame) -> Column:
+    """Shards that the rows of a repeated doc_id are dealt over, as a map; it holds only doc_ids whose rows fill more than
+    one, which are fewer than the documents have SHARD_BYTES."""
+    known = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id"))
+    sizes = known.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("n")).where((F.col("rows") > 1) & (F.col("n") > SHARD_BYTES))
+    found = sizes.select("id", F.least(F.ceil(F.col("n") / SHARD_BYTES), "rows").cast("int").alias("n")).collect()
+    pairs = [F.lit(x).cast(t) for r in found for x, t in ((r.id, "long"), (r.n, "int"))]
+    return F.create_map(*pairs) if pairs else F.create_map().cast("map<bigint,int>")
+
+
 def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), whole_as_is: bool = False) -> DataFrame:
     """doc_id, text (the kept words, joined by one space), n_words, n_removed, and the columns of `carry`, of every row
     of `docs` (doc_id, text). `whole_as_is` leaves the text of rows that lose nothing as it is, null included.
@@ -173,13 +191,18 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), whole_as_is: bo
 
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    shard = lambda c: F.pmod(F.xxhash64(c, F.lit("shard")), F.lit(shards)).cast("int").alias("shard")
+    shard = lambda c, salt: F.pmod(F.xxhash64(c, F.lit("shard"), salt), F.lit(shards)).cast("int").alias("shard")
+    dealt = salts(docs)
+    salted = lambda c: F.explode(F.sequence(F.lit(0), F.coalesce(F.element_at(dealt, c), F.lit(1)) - 1)).alias("salt")
     later = found.join(classes.where("later").select("gram", "stretch", "owner"), ["gram", "stretch"]).where("doc_id > owner")
-    needed = later.select(shard(F.col("doc_id")), "gram", "stretch").distinct()
+    needed = later.select("doc_id", "gram", "stretch", salted(F.col("doc_id"))).select(shard(F.col("doc_id"), F.col("salt")), "gram", "stretch").distinct()
     whole = needed.join(passages.where("later").select("gram", "stretch", "owner", "words"), ["gram", "stretch"])
-    phrases = whole.select("shard", F.col("owner").alias("source"), "words").union(parts.select(shard(F.col("owner")), "source", "words"))
+    parts = parts.select("owner", "source", "words", salted(F.col("owner"))).select(shard(F.col("owner"), F.col("salt")), "source", "words")
+    phrases = whole.select("shard", F.col("owner").alias("source"), "words").union(parts)
     phrases = phrases.select(F.col("shard").alias("to"), F.col("source"), F.col("words").alias("phrase"))
-    rows = docs.select(shard(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))), F.col("doc_id").cast("long"), "text", *carry)
+    own, row = F.col("doc_id").cast("long"), F.monotonically_increasing_id()
+    salt = F.pmod(F.xxhash64(row), F.coalesce(F.element_at(dealt, own), F.lit(1)).cast("long")).cast("int")
+    rows = docs.select(shard(F.coalesce(own, F.xxhash64(row)), salt), own.alias("doc_id"), "text", *carry)
     kept = rows.drop("shard")
 
     def remove(docs: pa.Table, phrases: pa.Table) -> pa.Table:

@@ -86,3 +86,19 @@ def test_equal_windows_name_the_same_gram():
     grams = lambda s, shift: {int(a) + k + shift: g for a, n, g in zip(s[0], s[1], s[2]) for k in range(n)}
     whole, part = grams(one, 0), grams(two, 100)
     assert len(whole) == 451 and len(part) == 251 and all(whole[k] == g for k, g in part.items())
+
+
+def test_rows_of_one_doc_id_with_other_texts(spark, monkeypatch):
+    """Passages come from the row that holds them, and the rows of one doc_id go to several shards."""
+    monkeypatch.setattr(repeats, "SHARD_BYTES", 3000)
+    rng = random.Random(9)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage, other = words(120), words(30)
+    rows = [(1, " ".join(passage)), (1, " ".join(other))]  # the slice of a passage in `other` is shorter than a window
+    rows += [(2, " ".join(words(20) + passage + words(20) + other + words(20))), (3, " ".join(other + words(40)))]
+    rows += [(4, " ".join(words(150) + passage[:60])) for _ in range(30)] + [(None, "same text " * 40)] * 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert collected(repeats.remove_repeats(docs)) == plain(rows)
+    classes = spark.createDataFrame([(5, 7, 1, 0, 20, True, False)], "gram long, stretch long, owner long, start int, n int, later boolean, mixed boolean")
+    assert repeats.read_passages(docs, classes).count() == 0  # no row of document 1 has that stretch
+    assert spark.range(1).select(repeats.salts(docs).alias("m")).first().m.keys() == {4}
