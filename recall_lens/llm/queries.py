@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recall_lens.llm import language, lm_scores, near_duplicates, neighbours, packing, quality, repeats, sentencepieces, token_counts, toxicity
+from recall_lens.llm import language, lm_scores, near_duplicates, neighbours, packing, periodic, quality, repeats, sentencepieces, token_counts, toxicity
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -74,6 +74,37 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search(spark.read.parquet(f"{folder}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
 
 
+def _planted(docs: DataFrame) -> DataFrame:
+    """The documents; where h = crc32(doc_id) ends in 0, the words from a on repeat the first p of them (a and p by h)."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", h.alias("h"), F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("words"))
+    g, n = F.floor(F.col("h") / 10), F.size("words")
+    a = F.pmod(g, n)
+    rows = rows.withColumn("a", F.when((F.col("h") % 10 == 0) & (n > 0), a.cast("int")))
+    rows = rows.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + F.pmod(i - F.col("a"), F.col("p")))
+    repeated = F.array_join(F.transform("words", lambda _, i: F.get("words", place(i))), " ")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.find_runs(_planted(documents(spark, folder)))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("early"), (-r["period"]).alias("short"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    rows = found.withColumns({"longest": longest, "lines": F.array_join(lines, "")})
+    length, period = F.col("longest.length"), -F.col("longest.short")
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.early")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("1000 * longest.length div -longest.short").alias("exponent_milli"),
+        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_repeats": op2_repeats,
@@ -85,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_toxicity": op9_toxicity,
     "op10_neighbours": op10_neighbours,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {}
