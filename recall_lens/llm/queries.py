@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recall_lens.llm import language, lm_scores, near_duplicates, neighbours, packing, periodic, quality, repeats, sentencepieces, token_counts, toxicity
+from recall_lens.llm import collocations, language, lm_scores, near_duplicates, neighbours, packing, periodic, quality, repeats, sentencepieces, token_counts, toxicity
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,6 +105,10 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_repeats": op2_repeats,
@@ -117,6 +121,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_neighbours": op10_neighbours,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_collocations": op13_collocations,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op13_collocations": """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents),
+lists AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    FROM lists, (SELECT unnest([1, 2, 3, 4]) AS k) AS sizes WHERE len(w) >= k),
+total AS (SELECT lang, count(*) AS n FROM grams WHERE k = 1 GROUP BY lang),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (
+    SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM f WHERE k >= 2),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, c.cut, l.f AS l, r.f AS r, (2000000 * c.a::HUGEINT) // (l.f + r.f) AS score
+    FROM cuts AS c
+    JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[:c.cut], ' ')
+    JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.cut + 1:], ' ')),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (
+    SELECT lang, f, k, string_split(phrase, ' ') AS w, unnest(range(2, k)) AS size FROM f WHERE k >= 3),
+inner_ AS (SELECT lang, f, size, w, unnest(range(1, len(w) - size + 2)) AS place FROM longer),
+around AS (SELECT lang, array_to_string(w[place:place + size - 1], ' ') AS phrase, max(f) AS f FROM inner_ GROUP BY ALL),
+kept AS (
+    SELECT s.* FROM weakest AS s LEFT JOIN around AS o ON o.lang = s.lang AND o.phrase = s.phrase
+    WHERE o.f IS NULL OR 100 * o.f::HUGEINT < 80 * s.a::HUGEINT),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000""",
+}
