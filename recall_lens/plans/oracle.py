@@ -572,6 +572,9 @@ UNION ALL SELECT 'forecast', category, date, forecasted_recalls, lower_bound, up
     "clean_text": f"SELECT doc_id, {_clean('text')}, {_clean('source')} FROM documents",
     "ingest_delimited": """SELECT 'K' || p_partkey AS KNUMBER, p_name AS DEVICENAME, upper(p_brand) AS PRODUCTCODE,
   p_type AS APPLICANT, CAST(DATE '2020-01-01' + CAST(p_size AS INTEGER) AS DATE) AS DECISIONDATE FROM part""",
+    "ingest_encodings": """SELECT doc_id, CAST(length(name) AS INTEGER) AS chars, md5(name) AS digest FROM (
+  SELECT doc_id, 'a' || regexp_replace(coalesce(text, ''), '[^\\x20-\\x7e\\xa0-\\xff]', ' ', 'g') || 'z'
+    || CASE ((doc_id % 3) + 3) % 3 WHEN 0 THEN '日€' WHEN 1 THEN '€œ' ELSE chr(129) END AS name FROM documents)""",
     "ingest_recalls": """SELECT CAST(o_orderkey AS VARCHAR) AS cfres_id,
   'K' || o_custkey || CASE WHEN o_orderkey % 2 = 0 THEN ',K' || (o_custkey + 1) ELSE '' END AS k_numbers,
   CAST(o_orderdate AS DATE) AS event_date_initiated FROM orders""",

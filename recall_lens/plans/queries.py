@@ -19,7 +19,8 @@ from recall_lens.operators.scoring import FEATURES, score_components
 from recall_lens.operators.skew import shared_folder, stage
 from recall_lens.plans.refresh import score
 from recall_lens.sources import recall_feed
-from recall_lens.sources.delimited import DelimitedFeed, read_feeds
+from recall_lens.sources.delimited import DelimitedFeed, read_feeds, read_text
+from recall_lens.sources.encodings import single_byte
 from recall_lens.sources.testdata import Feeds, feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -217,6 +218,25 @@ def ingest_delimited(spark: SparkSession, folder: str) -> DataFrame:
     return read_feeds(spark, [DelimitedFeed("premarket_510k", f"{root}/*/*.csv")])["premarket_510k"].select(*columns)
 
 
+def ingest_encodings(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents written as clearances in UTF-8, cp1252 and Latin-1 by turns, and read by a feed that is told none.
+
+    Characters outside Latin-1 are blanked first; every text gets one that tells its encoding from the others.
+    """
+    root = _feed_folder(spark)
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), r"[^\x20-\x7e\xa0-\xff]", " ")
+    docs = _read(spark, folder, "documents").select("doc_id", F.concat(F.lit("a"), text, F.lit("z")).alias("text"))
+    for turn, (encoding, sign) in enumerate((("utf-8", "日€"), ("cp1252", "€œ"), ("latin1", "\x81"))):
+        told = F.concat("text", F.lit(sign))
+        told = told if encoding == "utf-8" else single_byte(encoding).encoded(told)
+        rows = docs.filter(F.pmod("doc_id", F.lit(3)) == turn).select(F.col("doc_id").alias("KNUMBER"), told.alias("DEVICENAME"))
+        writer = rows.write.option("header", True).option("sep", "|").option("escape", '"')
+        writer.option("encoding", "UTF-8" if encoding == "utf-8" else "ISO-8859-1").csv(f"{root}/{turn}")
+    read = read_text(spark, DelimitedFeed("premarket_510k", f"{root}/*/*.csv", encoding=("utf-8", "cp1252", "latin1")))
+    name = F.col("DEVICENAME")
+    return read.select(F.col("KNUMBER").cast("long").alias("doc_id"), F.length(name).alias("chars"), F.md5(name.cast("binary")).alias("digest"))
+
+
 def ingest_recalls(spark: SparkSession, folder: str) -> DataFrame:
     """Orders written as recalls, one a line, their numbers as a list or as one text, and read through the reader."""
     orders, path = _read(spark, folder, "orders"), _feed_folder(spark)
@@ -360,6 +380,7 @@ QUERIES: dict[str, Query] = {
     "clean_json": cleaned_json,
     "flat_recalls": flat_recalls,
     "ingest_delimited": ingest_delimited,
+    "ingest_encodings": ingest_encodings,
     "ingest_recalls": ingest_recalls,
     "eval_confusion": eval_confusion,
     "eval_report": eval_report,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from recall_lens.functions.cleaning import clean_date, clean_text, normal_key, truncate_columns
 from recall_lens.schemas import KEYS, TABLES, dates, widths
+from recall_lens.sources.encodings import Layout, decoded, layouts
 
 CORRUPT = "_corrupt_record"
 
@@ -25,7 +26,8 @@ class DelimitedFeed:
     table: str
     path: str
     sep: str = "|"
-    encoding: str = "UTF-8"
+    #: One encoding for all files, or several, of which each file has the first that fits it.
+    encoding: str | tuple[str, ...] = "UTF-8"
     quote: str = '"'
 
 
@@ -34,39 +36,51 @@ def adverse_events(path: str, table: str = "maude") -> DelimitedFeed:
     return DelimitedFeed(table, path, encoding="ISO-8859-1", quote="")
 
 
-def _reader(spark: SparkSession, feed: DelimitedFeed) -> DataFrameReader:
+def _reader(spark: SparkSession, feed: DelimitedFeed, encoding: str) -> DataFrameReader:
     reader = (
         spark.read.option("header", True)
         .option("sep", feed.sep)
-        .option("encoding", feed.encoding)
+        .option("encoding", encoding)
         .option("quote", feed.quote)
         .option("mode", "PERMISSIVE")
     )
     return reader.option("escape", '"') if feed.quote else reader
 
 
-def files_by_header(spark: SparkSession, feed: DelimitedFeed) -> dict[tuple[str, ...], list[str]]:
-    """The files of a feed by the columns their own header names."""
+def files_by_header(spark: SparkSession, feed: DelimitedFeed) -> Iterator[tuple[tuple[str, ...], Layout]]:
+    """The files of a feed by the columns their own header names and the encoding they are in.
+
+    Where the encoding is to be found, one pass over all lines finds it together with the headers, and Spark then reads
+    one header for each distinct first line. With one encoding for all, it reads each file's.
+    """
+    if not isinstance(feed.encoding, str):
+        for layout in layouts(spark, feed.path, feed.encoding):
+            yield tuple(_reader(spark, feed, layout.read_as).csv(layout.paths[0]).columns), layout
+        return
     found: dict[tuple[str, ...], list[str]] = {}
     for row in spark.read.format("binaryFile").load(feed.path).select("path").orderBy("path").collect():
-        found.setdefault(tuple(_reader(spark, feed).csv(row.path).columns), []).append(row.path)
-    return found
+        found.setdefault(tuple(_reader(spark, feed, feed.encoding).csv(row.path).columns), []).append(row.path)
+    for columns, paths in found.items():
+        yield columns, Layout(feed.encoding, b"", tuple(paths))
 
 
 def read_text(spark: SparkSession, feed: DelimitedFeed, quarantine: bool = False) -> DataFrame:
     """Every column as text, named by the header of its own file; one scan for each distinct header.
 
-    Bytes that do not decode become the replacement character; the rest of the row is kept. cp1252 files need
-    spark.sql.legacy.javaCharsets. A row with fewer fields than the header is filled with nulls. One with more fits no
+    Bytes that do not decode become the replacement character; the rest of the row is kept. A feed of one encoding that
+    Spark does not read by itself, like cp1252, is given as a list of that one. A row with fewer fields than the header is filled with nulls. One with more fits no
     column; it is left out, or, with `quarantine`, kept with its raw text in `_corrupt_record`.
     """
     parts = []
-    for columns, paths in files_by_header(spark, feed).items():
+    for columns, layout in files_by_header(spark, feed):
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]).add(CORRUPT, T.StringType())
-        reader = _reader(spark, feed).option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
-        part = reader.schema(schema).csv(paths)
+        found = not isinstance(feed.encoding, str)
+        reader = _reader(spark, feed, layout.read_as if found else feed.encoding)
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+        part = reader.schema(schema).csv(list(layout.paths))
         fields = F.size(F.split(CORRUPT, re.escape(feed.sep)))
-        parts.append(part.withColumn(CORRUPT, F.when(fields > len(columns), F.col(CORRUPT))))
+        part = part.withColumn(CORRUPT, F.when(fields > len(columns), F.col(CORRUPT)))
+        parts.append(decoded(part, layout) if found else part)
     text = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if quarantine:
         return text

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recall_lens.functions.cleaning import NA_TOKENS, clean_date, to_number, with_alias
 from recall_lens.sinks.files import BYTE_ORDER_MARK
+from recall_lens.sources.encodings import USUAL, decoded, layouts
 
 NUMERIC = ("rpss", "recall_count", "total_adverse_events", "device_class")
 
@@ -38,10 +41,21 @@ def read_database(
     )
 
 
-def read_snapshot(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """The CSV snapshot: byte order mark dropped, numbers and dates coerced, absent columns filled."""
-    raw = spark.read.option("header", True).option("encoding", encoding).option("escape", '"').csv(path)
-    raw = raw.toDF(*[c.removeprefix(BYTE_ORDER_MARK) for c in raw.columns])
+def _snapshot_text(spark: SparkSession, path: str, encoding: str | tuple[str, ...]) -> DataFrame:
+    reader = spark.read.option("header", True).option("escape", '"')
+    if isinstance(encoding, str):
+        raw = reader.option("encoding", encoding).csv(path)
+        return raw.toDF(*[c.removeprefix(BYTE_ORDER_MARK) for c in raw.columns])
+    parts = [decoded(reader.option("encoding", found.read_as).csv(list(found.paths)), found) for found in layouts(spark, path, encoding)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def read_snapshot(spark: SparkSession, path: str, encoding: str | tuple[str, ...] = USUAL) -> DataFrame:
+    """The CSV snapshot: byte order mark dropped, numbers and dates coerced, absent columns filled.
+
+    Of several encodings each file has the first that fits it; a single one saves the pass that finds out.
+    """
+    raw = _snapshot_text(spark, path, encoding)
     cells = {c: F.when(~F.col(f"`{c}`").isin(list(NA_TOKENS)), F.col(f"`{c}`")) for c in raw.columns}
     df = raw.withColumns(cells)
     df = with_alias(df, "unique_manufacturers", ["unique-manufacturers"])
