@@ -578,6 +578,9 @@ UNION ALL SELECT 'forecast', category, date, forecasted_recalls, lower_bound, up
     "ingest_recalls": """SELECT CAST(o_orderkey AS VARCHAR) AS cfres_id,
   'K' || o_custkey || CASE WHEN o_orderkey % 2 = 0 THEN ',K' || (o_custkey + 1) ELSE '' END AS k_numbers,
   CAST(o_orderdate AS DATE) AS event_date_initiated FROM orders""",
+    "ingest_document": """SELECT CAST(o_orderkey AS VARCHAR) AS cfres_id,
+  '} ], "results": [{ \\ ' || o_orderpriority || chr(10) || '"{' AS action, 'K' || o_custkey AS k_numbers,
+  '{"results":[{"status":"' || o_orderstatus || '"}]}' AS openfda, CAST(o_orderdate AS DATE) AS event_date_initiated FROM orders""",
     "eval_confusion": """SELECT a AS actual, p AS predicted,
   (SELECT count(*) FROM labels WHERE quality = a AND toxic = p) AS rows
   FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS cells(a, p)""",

@@ -250,6 +250,27 @@ def ingest_recalls(spark: SparkSession, folder: str) -> DataFrame:
     return recalls.select("cfres_id", F.array_join("k_numbers", ",").alias("k_numbers"), "event_date_initiated")
 
 
+def ingest_document(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders written as recall documents of up to 200,000 members, each a file on one line, and read in ranges of bytes."""
+    orders, path = _read(spark, folder, "orders"), _feed_folder(spark)
+    texts = F.struct(
+        F.col("o_orderkey").alias("cfres_id"),
+        F.concat(F.lit('} ], "results": [{ \\ '), "o_orderpriority", F.lit('\n"{')).alias("action"),
+        F.array(F.concat(F.lit("k"), F.col("o_custkey").cast("string"))).alias("k_numbers"),
+        F.struct(F.array(F.struct(F.col("o_orderstatus").alias("status"))).alias("results")).alias("openfda"),
+        F.date_format("o_orderdate", "yyyyMMdd").alias("event_date_initiated"),
+    )
+    file = F.floor(F.col("o_orderkey") / 200_000).alias("file")
+    rows = orders.select(file, F.lit(1).alias("part"), F.col("o_orderkey").alias("at"), F.concat(F.lit(","), F.to_json(texts)).alias("value"))
+    ends = rows.select("file").distinct()
+    head = ends.select("file", F.lit(0).alias("part"), F.lit(0).alias("at"), F.lit('{"meta": {"results": {"total": 1}, "results": [{"x": 1}]}, "results": [[{}], 7, {"cfres_id": null}').alias("value"))
+    tail = ends.select("file", F.lit(2).alias("part"), F.lit(0).alias("at"), F.lit('], "other": [{"cfres_id": "no"}]}').alias("value"))
+    document = rows.unionByName(head).unionByName(tail).repartition("file").sortWithinPartitions("file", "part", "at")
+    document.select("file", "value").write.partitionBy("file").option("lineSep", " ").text(path)
+    recalls = recall_feed.clean_recalls(recall_feed.read_documents(spark, path)).filter(F.col("cfres_id").isNotNull())
+    return recalls.select("cfres_id", "action", F.array_join("k_numbers", ",").alias("k_numbers"), "openfda", "event_date_initiated")
+
+
 # --- classifier --------------------------------------------------------------------------------------------------
 
 
@@ -382,6 +403,7 @@ QUERIES: dict[str, Query] = {
     "ingest_delimited": ingest_delimited,
     "ingest_encodings": ingest_encodings,
     "ingest_recalls": ingest_recalls,
+    "ingest_document": ingest_document,
     "eval_confusion": eval_confusion,
     "eval_report": eval_report,
     "ml_features": _on_scores(classify.feature_table),

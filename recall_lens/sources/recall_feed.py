@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from recall_lens.functions.cleaning import clean_date, clean_json_value, normal_key, truncate_columns
 from recall_lens.schemas import TABLES, dates, widths
+from recall_lens.sources.json_ranges import members
 
 NUMBERS = T.ArrayType(T.StringType())
 
@@ -16,10 +17,8 @@ RECORD = T.StructType([T.StructField(f.name, T.StringType()) for f in TABLES["re
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Recalls of `{"results": [...]}` documents. A document is read by one task, so large feeds come as many files."""
-    document = T.StructType([T.StructField("results", T.ArrayType(RECORD))])
-    documents = spark.read.schema(document).option("multiLine", True).json(path)
-    return documents.select(F.inline("results"))
+    """Recalls of `{"results": [...]}` documents, however large; their ranges of bytes are read in parallel."""
+    return members(spark, path).select(F.from_json("value", RECORD).alias("recall")).select("recall.*")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
