@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from recall_lens.functions.display import NO_NAME
 from recall_lens.operators.names import with_device_names
 from recall_lens.operators.scoring import SCORED_COLUMNS
+from recall_lens.operators.top import highest
 
 KEY = "PMA_PMN_NUM"
 SNAPSHOT_ROWS = 50_000
+#: Longest list for which n rows of every partition are merged.
+LONG_LIST = 5_000
 # The columns of the snapshot file, in its order.
 SNAPSHOT_COLUMNS = (
     "PMA_PMN_NUM",
@@ -55,7 +58,12 @@ def scored_view(published: DataFrame) -> DataFrame:
 
 
 def top_devices(scored: DataFrame, n: int, by: str = "rpss") -> DataFrame:
-    """The n highest devices, ties by device number; NaN ranks above all numbers and null below them."""
+    """The n highest devices, ties by device number; NaN ranks above all numbers and null below them.
+
+    Spark's sorted limit merges n rows of every partition. For a long list rows below a threshold are left out first.
+    """
+    if n > LONG_LIST:
+        return highest(scored, n, by, KEY)
     return scored.orderBy(F.col(by).desc_nulls_last(), KEY).limit(n)
 
 
