@@ -634,3 +634,31 @@ SELECT metric, round(precision, 6) AS precision, round(recall, 6) AS recall, rou
   FROM (SELECT PMA_PMN_NUM, CASE WHEN recall_count > 0 THEN 1 ELSE 0 END AS has_recall FROM scored))""",
     ),
 }
+
+ORACLE |= {
+    "upsert_bucketed": ORACLE["upsert_scores"],
+    "ingest_adverse_events": """SELECT CAST(event_id AS VARCHAR) AS MDR_REPORT_KEY, 'K' || user_id AS PMA_PMN_NUM,
+  CAST(ts AS DATE) AS DATE_OF_EVENT, '"Gerät" é " ' || event_type AS MANUFACTURER_NAME,
+  CASE WHEN event_type <> 'error' THEN props END AS DISTRIBUTOR_NAME FROM events""",
+    "snapshot_file": """SELECT 'K' || c_custkey AS PMA_PMN_NUM, CASE WHEN c_custkey % 7 > 0 THEN c_acctbal END AS rpss,
+  c_mktsegment AS rpss_category, CAST(c_nationkey AS DOUBLE) AS recall_count, TIMESTAMP '2024-05-01' AS last_scored,
+  0 AS unique_manufacturers, 'K' || c_custkey AS device_name FROM customer""",
+    "chosen_columns": """SELECT 'K' || c_custkey AS PMA_PMN_NUM, CASE WHEN c_custkey % 7 > 0 THEN c_acctbal END AS rpss,
+  c_nationkey AS events FROM customer""",
+    "appended_and_refreshed": """SELECT *, 'appended' AS kind FROM nation UNION ALL SELECT *, 'appended' FROM nation
+  UNION ALL SELECT *, 'refreshed' FROM nation""",
+    "contract_report": """SELECT 'extra' AS finding, unnest(['text', 'lang', 'n_chars']) AS column_name
+UNION ALL SELECT 'wrong_type', 'KNUMBER'
+UNION ALL SELECT 'missing', unnest(['CONTACT', 'STREET1', 'STREET2', 'CITY', 'STATE', 'COUNTRY_CODE', 'ZIP', 'POSTAL_CODE',
+  'DATERECEIVED', 'DECISIONDATE', 'DECISION', 'REVIEWADVISECOMM', 'PRODUCTCODE', 'STATEORSUMM', 'CLASSADVISECOMM',
+  'SSPINDICATOR', 'TYPE', 'THIRDPARTY', 'EXPEDITEDREVIEW', 'DEVICENAME'])""",
+    "load_ledger": """WITH n AS (SELECT count(*) FILTER (event_id % 2 = 0) AS even, count(*) FILTER (event_id % 2 = 1) AS odd FROM events)
+SELECT 'even' AS load_id, 'loaded' AS status, 1 AS attempts, even AS rows FROM n UNION ALL SELECT 'even', 'replayed', 1, NULL FROM n
+UNION ALL SELECT 'odd', 'failed', 1, NULL FROM n UNION ALL SELECT 'odd', 'loaded', 1, odd FROM n
+UNION ALL SELECT 'all', 'in the table', NULL, even + odd FROM n""",
+    "ingest_set": """SELECT 'pma' AS feed, 'P' || p_partkey AS number FROM part
+UNION ALL SELECT 'premarket_510k', 'K' || p_partkey FROM part
+UNION ALL SELECT DISTINCT 'product_code', upper(p_brand) FROM part
+UNION ALL SELECT 'maude', CAST(o_orderkey AS VARCHAR) FROM orders
+UNION ALL SELECT 'recall', CAST(o_orderkey AS VARCHAR) FROM orders""",
+}

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +15,11 @@ from recall_lens.operators.analytics import DeviceFilter
 from recall_lens.operators.integration import integrated_view
 from recall_lens.operators.rollup import device_rollup, device_rollup_exact
 from recall_lens.operators.scoring import FEATURES, score_components
-from recall_lens.operators.skew import shared_folder, stage
+from recall_lens.operators.skew import stage
+from recall_lens.plans import round_trips
 from recall_lens.plans.refresh import score
+from recall_lens.plans.round_trips import new_folder
+from recall_lens.sinks.bucketed import BucketedTable
 from recall_lens.sources import recall_feed
 from recall_lens.sources.delimited import DelimitedFeed, read_feeds, read_text
 from recall_lens.sources.encodings import single_byte
@@ -83,17 +85,30 @@ def dedup_staging(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(publish.dedup_staging(_staged_runs(spark, folder)))
 
 
-def upsert_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Earlier scores of the devices with events, merged with the new scores of the recalled devices."""
+def _target_and_source(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Earlier scores of the devices with events, and the new scores of the recalled devices."""
     target = (
         published(spark, folder, exact=True)
         .filter(F.col("total_adverse_events") > 0)
         .withColumn("last_scored", F.lit(EARLIER.isoformat(sep=" ")).cast("timestamp_ntz"))
     )
-    source = published(spark, folder).filter(F.col("recall_count") > 0)
+    return target, published(spark, folder).filter(F.col("recall_count") > 0)
+
+
+def upsert_scores(spark: SparkSession, folder: str) -> DataFrame:
+    target, source = _target_and_source(spark, folder)
     return rounded(publish.upsert_scores(target, source, SCORED_AT))
 
 
+def upsert_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same merge into a bucketed table, of which it rewrites the buckets of the recalled devices."""
+    target, source = _target_and_source(spark, folder)
+    table = BucketedTable(spark, new_folder(spark), publish.KEY)
+    table.merge(target, lambda _: target)
+    table.merge(source, lambda old: publish.upsert_scores(old, source, SCORED_AT))
+    return rounded(table.read())
+
+
 def _stamped(spark: SparkSession, folder: str) -> DataFrame:
     stamp = F.lit(SCORED_AT.isoformat(sep=" ")).cast("timestamp_ntz")
     return published(spark, folder).withColumn("last_scored", stamp)
@@ -198,13 +213,9 @@ def flat_recalls(spark: SparkSession, folder: str) -> DataFrame:
 # --- feeds written and read back ---------------------------------------------------------------------------------
 
 
-def _feed_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/feeds/{uuid.uuid4().hex}"
-
-
 def ingest_delimited(spark: SparkSession, folder: str) -> DataFrame:
     """Parts written as delimited clearances, in two column orders, and read through the feed reader."""
-    part, root = _read(spark, folder, "part"), _feed_folder(spark)
+    part, root = _read(spark, folder, "part"), new_folder(spark)
     columns = {
         "KNUMBER": F.concat(F.lit(" k"), F.col("p_partkey")),
         "DEVICENAME": F.col("p_name"),
@@ -223,7 +234,7 @@ def ingest_encodings(spark: SparkSession, folder: str) -> DataFrame:
 
     Characters outside Latin-1 are blanked first; every text gets one that tells its encoding from the others.
     """
-    root = _feed_folder(spark)
+    root = new_folder(spark)
     text = F.regexp_replace(F.coalesce("text", F.lit("")), r"[^\x20-\x7e\xa0-\xff]", " ")
     docs = _read(spark, folder, "documents").select("doc_id", F.concat(F.lit("a"), text, F.lit("z")).alias("text"))
     for turn, (encoding, sign) in enumerate((("utf-8", "日€"), ("cp1252", "€œ"), ("latin1", "\x81"))):
@@ -239,7 +250,7 @@ def ingest_encodings(spark: SparkSession, folder: str) -> DataFrame:
 
 def ingest_recalls(spark: SparkSession, folder: str) -> DataFrame:
     """Orders written as recalls, one a line, their numbers as a list or as one text, and read through the reader."""
-    orders, path = _read(spark, folder, "orders"), _feed_folder(spark)
+    orders, path = _read(spark, folder, "orders"), new_folder(spark)
     number = lambda c: F.concat(F.lit("k"), c.cast("string"))
     day = F.date_format("o_orderdate", "yyyyMMdd").alias("event_date_initiated")
     one = F.to_json(F.struct(F.col("o_orderkey").alias("cfres_id"), number(F.col("o_custkey")).alias("k_numbers"), day))
@@ -252,7 +263,7 @@ def ingest_recalls(spark: SparkSession, folder: str) -> DataFrame:
 
 def ingest_document(spark: SparkSession, folder: str) -> DataFrame:
     """Orders written as recall documents of up to 200,000 members, each a file on one line, and read in ranges of bytes."""
-    orders, path = _read(spark, folder, "orders"), _feed_folder(spark)
+    orders, path = _read(spark, folder, "orders"), new_folder(spark)
     texts = F.struct(
         F.col("o_orderkey").alias("cfres_id"),
         F.concat(F.lit('} ], "results": [{ \\ '), "o_orderpriority", F.lit('\n"{')).alias("action"),
@@ -355,6 +366,7 @@ QUERIES: dict[str, Query] = {
     "rpss_scores_exact": _on_feeds(lambda f: score(f, exact=True)),
     "dedup_staging": dedup_staging,
     "upsert_scores": upsert_scores,
+    "upsert_bucketed": upsert_bucketed,
     "scored_view": lambda spark, folder: rounded(publish.scored_view(_stamped(spark, folder))),
     "device_names": _on_feeds(names.device_names),
     "export_snapshot": export_snapshot,
@@ -406,6 +418,7 @@ QUERIES: dict[str, Query] = {
     "ingest_document": ingest_document,
     "eval_confusion": eval_confusion,
     "eval_report": eval_report,
+    **round_trips.QUERIES,
     "ml_features": _on_scores(classify.feature_table),
     "ml_split": ml_split,
     "ml_predictions": ml_predictions,
