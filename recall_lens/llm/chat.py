@@ -4,8 +4,9 @@ A turn becomes `<|im_start|>role<|im_sep|>text<|im_end|>`. The three marks are s
 reaches from a mark into a text. Inside roles and texts a backslash is put after every `<` that would open a control
 string, behind which any backslashes may stand; taking one away gives the original back.
 
-A conversation is rendered whole and encoded once, with the offsets of its tokens. Which tokens count for the loss comes
-from a binary search of their offsets in the sorted spans of the assistant's texts.
+A conversation is rendered whole and encoded once. The vocabulary's tokens are strings of bytes that together are the
+text, so their lengths give the offsets of all tokens, in bytes. Which tokens count for the loss comes from a binary search
+of their offsets in the sorted spans of the assistant's texts.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-from tokenizers import AddedToken, Tokenizer, processors  # noqa: E402
+from tokenizers import AddedToken, Tokenizer  # noqa: E402
 
 from recall_lens.llm.staging import Staging, small_batches  # noqa: E402
 from recall_lens.llm.text import batch  # noqa: E402
@@ -64,15 +65,29 @@ def unescaped(text: str) -> str:
     return _ESCAPED.sub(r"<\1|", text) if "|" in text else text
 
 
+def _byte_of_character() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 characters for themselves, the
+    characters from 256 on for the other bytes in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+
+
 class ChatTokenizer:
-    """A byte-level vocabulary with the template's marks added after its last id, and offsets that leave out nothing."""
+    """A byte-level vocabulary with the template's marks added after its last id."""
 
     _safe = re.compile(r"(?<=\S)(?= \S)")
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.add_special_tokens([AddedToken(mark, special=True, normalized=False) for mark in (START, SEP, END)])
-        self.tokenizer.post_processor = processors.ByteLevel(trim_offsets=False)
+        byte = _byte_of_character()
+        self.bytes = [b""] * self.tokenizer.get_vocab_size(with_added_tokens=True)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.bytes[i] = bytes(map(byte.__getitem__, token))
+        for i, added in self.tokenizer.get_added_tokens_decoder().items():
+            self.bytes[i] = added.content.encode()
+        self.lengths = np.array([len(b) for b in self.bytes])
 
     def cut(self, text: str) -> list[str]:
         """The text in parts of about GROUP_CHARS, cut before single spaces, where a token starts in any case."""
@@ -82,18 +97,20 @@ class ChatTokenizer:
             start = found.start()
         return [*out, text[start:]]
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each text its ids, and the offsets of their first character and of the one after their last."""
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
         parts = [self.cut(t) for t in texts]
-        found = iter(self.tokenizer.encode_batch([p for of_text in parts for p in of_text], add_special_tokens=False))
+        found = iter(self.tokenizer.encode_batch_fast([p for of_text in parts for p in of_text], add_special_tokens=False))
         for of_text in parts:
-            ids, offsets, base = [], [], 0
-            for part in of_text:
-                e = next(found)
-                ids.append(np.array(e.ids, np.int32))
-                offsets.append(np.array(e.offsets, np.int64).reshape(-1, 2) + base)
-                base += len(part)
-            yield np.concatenate(ids), np.concatenate(offsets)
+            yield np.concatenate([np.array(next(found).ids, np.int32) for _ in of_text])
+
+    def offsets(self, ids: np.ndarray) -> np.ndarray:
+        """For each token the places of its first byte and of the one after its last."""
+        ends = np.cumsum(self.lengths[ids])
+        return np.stack((ends - self.lengths[ids], ends), 1)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, ids.tolist()))
 
 
 def under(spans: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -104,6 +121,10 @@ def under(spans: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return (at >= 0) & (offsets[:, 1] <= spans[np.maximum(at, 0), 1])
 
 
+def _size(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode())
+
+
 @dataclass
 class _Part:
     """Turns of one conversation, rendered."""
@@ -114,16 +135,19 @@ class _Part:
     pieces: list[str] = field(default_factory=list)
     spans: list[tuple[int, int]] = field(default_factory=list)
     chars: int = 0
+    bytes: int = 0
     turns: int = 0
 
     def add(self, role: str | None, text: str | None, answering: str) -> None:
         head = START + escaped(role or "") + SEP
         body = escaped(text or "")
         self.pieces += (head, body, END)
-        start = self.chars + len(head)
+        start = self.bytes + _size(head)
+        end = start + _size(body)
         if role == answering and body:
-            self.spans.append((start, start + len(body)))
-        self.chars = start + len(body) + len(END)
+            self.spans.append((start, end))
+        self.bytes = end + len(END)
+        self.chars += len(head) + len(body) + len(END)
         self.turns += 1
 
 
@@ -190,19 +214,20 @@ def format_conversations(
         for group in _grouped(_parts(batches, answering, part_chars, part_turns)):
             texts = ["".join(p.pieces) for p in group]
             ids, loss = [], []
-            for part, (of_text, offsets) in zip(group, chat.encode(texts), strict=True):
+            for part, of_text in zip(group, chat.encode(texts), strict=True):
                 ids.append(of_text)
-                loss.append(under(np.array(part.spans, np.int64).reshape(-1, 2), offsets))
+                loss.append(under(np.array(part.spans, np.int64).reshape(-1, 2), chat.offsets(of_text)))
             columns = [[p.conv_id for p in group], [p.number for p in group], [p.whole for p in group], [p.turns for p in group]]
             yield batch(_FORMATTED, [*columns, texts, _lists(ids, pa.int32()), _lists(loss, pa.bool_())])
 
     return dealt.select("conv_id", "large", "role", "text").mapInArrow(write, _FORMATTED_SPARK)
 
 
-def _masked_runs(ids: np.ndarray, loss: np.ndarray) -> list[list[int]]:
-    """Stretches of tokens under the mask."""
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], loss.astype(np.int8), [0]))))
-    return [ids[i:j].tolist() for i, j in edges.reshape(-1, 2)]
+def _masked(offsets: np.ndarray, loss: np.ndarray, data: bytes) -> Iterator[str]:
+    """The text of each stretch of tokens under the mask."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], loss.astype(np.int8), [0])))).reshape(-1, 2)
+    for first, end in edges.tolist():
+        yield data[offsets[first, 0] : offsets[end - 1, 1]].decode()
 
 
 def read_back(formatted: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -212,16 +237,19 @@ def read_back(formatted: DataFrame, tokenizer: str | None = None) -> DataFrame:
     path = tokenizer or tokenizer_path("byte_bpe_50k.json")
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = loaded(ChatTokenizer, path).tokenizer
+        chat: ChatTokenizer = loaded(ChatTokenizer, path)
         for rows in batches:
-            ids = [x.values.to_numpy() for x in rows.column(2)]
-            runs = [_masked_runs(i, np.asarray(x.values)) for i, x in zip(ids, rows.column(3), strict=True)]
-            texts = tokens.decode_batch([i.tolist() for i in ids], skip_special_tokens=False)
-            spoken = iter(tokens.decode_batch([r for of_row in runs for r in of_row], skip_special_tokens=False))
-            lists = [[turn.removesuffix(END).split(SEP) for turn in t.split(START)[1:]] for t in texts]
-            turns = ["".join(f"{unescaped(role)}\n{unescaped(text)}\n" for role, text in of_row) for of_row in lists]
-            loss = ["".join(unescaped(next(spoken)) for _ in of_row) for of_row in runs]
-            yield batch(_READ, [rows.column(0), rows.column(1), [len(x) for x in lists], turns, loss, [len(t) for t in texts]])
+            columns: list[list] = [[], [], [], []]
+            for row_ids, row_loss in zip(rows.column(2), rows.column(3), strict=True):
+                ids = row_ids.values.to_numpy()
+                data = chat.decode(ids)
+                text = data.decode()
+                turns = [turn.removesuffix(END).split(SEP) for turn in text.split(START)[1:]]
+                spoken = _masked(chat.offsets(ids), np.asarray(row_loss.values), data)
+                said = "".join(f"{unescaped(role)}\n{unescaped(body)}\n" for role, body in turns)
+                for column, value in zip(columns, (len(turns), said, "".join(map(unescaped, spoken)), len(text)), strict=True):
+                    column.append(value)
+            yield batch(_READ, [rows.column(0), rows.column(1), *columns])
 
     return formatted.select("conv_id", "part", "ids", "loss").mapInArrow(read, _READ_SPARK)
 

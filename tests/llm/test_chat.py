@@ -91,10 +91,12 @@ def test_long_texts_are_cut_where_a_token_starts(spark, monkeypatch):
     monkeypatch.setattr(chat, "GROUP_CHARS", 100)
     cut = chat.ChatTokenizer(tokenizer_path("byte_bpe_50k.json"))
     assert len(cut.cut(whole.text)) > 50
-    ids, offsets = next(cut.encode([whole.text]))
+    ids = next(cut.encode([whole.text]))
     assert ids.tolist() == list(whole.ids)
-    assert (offsets[1:, 0] >= offsets[:-1, 0]).all()
-    assert offsets[-1, 1] == len(whole.text)
+    offsets = cut.offsets(ids)
+    assert (offsets[1:, 0] == offsets[:-1, 1]).all()
+    assert offsets[-1, 1] == len(whole.text.encode())
+    assert cut.decode(ids).decode() == whole.text == cut.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
 
 
 def test_tokens_under_spans():
