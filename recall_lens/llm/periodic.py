@@ -33,7 +33,7 @@ from recall_lens.llm.text import batch, texts_of
 
 LEAST_WORDS = 12
 #: Words searched together.
-GROUP_WORDS = 1 << 18
+GROUP_WORDS = 1 << 17
 
 _ARROW = pa.schema(
     [

@@ -85,10 +85,11 @@ def op11_chat(spark: SparkSession, folder: str) -> DataFrame:
 def _planted(docs: DataFrame) -> DataFrame:
     """The documents; where h = crc32(doc_id) ends in 0, the words from a on repeat the first p of them (a and p by h)."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    rows = docs.select("doc_id", "text", h.alias("h"), F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("words"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
     g, n = F.floor(F.col("h") / 10), F.size("words")
     a = F.pmod(g, n)
-    rows = rows.withColumn("a", F.when((F.col("h") % 10 == 0) & (n > 0), a.cast("int")))
+    rows = rows.withColumn("a", F.when(n > 0, a.cast("int")))
     rows = rows.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
     place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + F.pmod(i - F.col("a"), F.col("p")))
     repeated = F.array_join(F.transform("words", lambda _, i: F.get("words", place(i))), " ")
