@@ -64,13 +64,14 @@ def _roles(feeds: Feeds) -> DataFrame:
     )
 
 
-def device_facts(feeds: Feeds, sets: DataFrame, tuples: DataFrame) -> DataFrame:
-    """Every (role, number, code) with the figures of its number; `paired` marks codes that both roles carry."""
+def device_facts(feeds: Feeds, events: DataFrame, tuples: DataFrame) -> DataFrame:
+    """Every (role, number, code) with the figures of its number (`events` are its event facts); `paired` marks codes that
+    both roles carry."""
     roles = _roles(feeds)
     sides = roles.groupBy("code").agg((F.min("role") != F.max("role")).alias("paired"))
     return (
         salted_join(roles, sides, ["code"], ["number"], "left")
-        .join(event_facts(sets), "number", "left")
+        .join(events, "number", "left")
         .join(recall_facts(tuples), "number", "left")
         .fillna(0, ["n_report", "n_maker", "n_recall", "n_recall_event"])
     )
@@ -247,7 +248,12 @@ def device_rollup(feeds: Feeds) -> DataFrame:
     """Device figures with the view's fan-out: an event counts once per view row that shows it."""
     sets = stage(observed_sets(feeds.maude), "observed-sets")
     tuples = stage(recall_tuples(feeds.recall), "recall-tuples")
-    devices = stage(device_facts(feeds, sets, tuples), "device-facts")
+    return rollup_of(feeds, sets, tuples, event_facts(sets))
+
+
+def rollup_of(feeds: Feeds, sets: DataFrame, tuples: DataFrame, events: DataFrame) -> DataFrame:
+    """`device_rollup` from distinct reports and makers, distinct recalls and the event facts of every number."""
+    devices = stage(device_facts(feeds, events, tuples), "device-facts")
     codes = _code_totals(devices, feeds.product_code)
     shared = _shared_terms(devices, sets, tuples)
     rows = F.coalesce("code_rows", F.lit(1))
@@ -315,8 +321,12 @@ def device_rollup(feeds: Feeds) -> DataFrame:
 
 def device_rollup_exact(feeds: Feeds) -> DataFrame:
     """Device figures without fan-out: each number's own events and recalls, counted once."""
-    sets = observed_sets(feeds.maude)
-    devices = device_facts(feeds, sets, recall_tuples(feeds.recall)).filter(F.col("number").isNotNull())
+    return rollup_exact_of(feeds, event_facts(observed_sets(feeds.maude)), recall_tuples(feeds.recall))
+
+
+def rollup_exact_of(feeds: Feeds, events: DataFrame, tuples: DataFrame) -> DataFrame:
+    """`device_rollup_exact` from the event facts of every number and distinct recalls."""
+    devices = device_facts(feeds, events, tuples).filter(F.col("number").isNotNull())
     return (
         salted_join(devices, code_classes(feeds.product_code), ["code"], ["number"], "left")
         .groupBy(F.col("number").alias("PMA_PMN_NUM"))

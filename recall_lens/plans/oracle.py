@@ -637,6 +637,8 @@ SELECT metric, round(precision, 6) AS precision, round(recall, 6) AS recall, rou
 
 ORACLE |= {
     "upsert_bucketed": ORACLE["upsert_scores"],
+    "rollup_incremental": ORACLE["device_rollup"],
+    "rollup_exact_incremental": ORACLE["device_rollup_exact"],
     "ingest_adverse_events": """SELECT CAST(event_id AS VARCHAR) AS MDR_REPORT_KEY, 'K' || user_id AS PMA_PMN_NUM,
   CAST(ts AS DATE) AS DATE_OF_EVENT, '"Gerät" é " ' || event_type AS MANUFACTURER_NAME,
   CASE WHEN event_type <> 'error' THEN props END AS DISTRIBUTOR_NAME FROM events""",

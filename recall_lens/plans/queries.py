@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from recall_lens.functions.cleaning import clean_date, clean_json_value, clean_text, to_number, truncate_columns
 from recall_lens.operators import analytics, classify, forecasting, names, publish, timeseries
 from recall_lens.operators.analytics import DeviceFilter
+from recall_lens.operators.incremental import RollupState
 from recall_lens.operators.integration import integrated_view
 from recall_lens.operators.rollup import device_rollup, device_rollup_exact
 from recall_lens.operators.scoring import FEATURES, score_components
@@ -122,6 +123,28 @@ def name_coverage(spark: SparkSession, folder: str) -> DataFrame:
     return names.name_coverage(publish.snapshot(_stamped(spark, folder), names.device_names(feeds(spark, folder))))
 
 
+def _loaded_twice(spark: SparkSession, folder: str) -> tuple[RollupState, Feeds]:
+    """A rollup state that events and recalls come to in two loads, of which the second overlaps the first."""
+    source = feeds(spark, folder)
+    part = F.pmod(F.xxhash64("MDR_REPORT_KEY"), F.lit(10))
+    recalls = F.pmod(F.xxhash64("cfres_id"), F.lit(10))
+    state = RollupState(spark, new_folder(spark))
+    for events, recalled in ((part < 6, recalls < 6), (part >= 4, recalls >= 4)):
+        state.add_events(source.maude.filter(F.coalesce(events, F.lit(True))))
+        state.add_recalls(source.recall.filter(F.coalesce(recalled, F.lit(True))))
+    return state, source
+
+
+def rollup_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    state, source = _loaded_twice(spark, folder)
+    return rounded(state.rollup(source))
+
+
+def rollup_exact_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    state, source = _loaded_twice(spark, folder)
+    return rounded(state.rollup_exact(source))
+
+
 # --- series and forecasts ----------------------------------------------------------------------------------------
 
 
@@ -361,6 +384,8 @@ QUERIES: dict[str, Query] = {
     "integrated_view": _on_feeds(integrated_view),
     "device_rollup": _on_feeds(device_rollup),
     "device_rollup_exact": _on_feeds(device_rollup_exact),
+    "rollup_incremental": rollup_incremental,
+    "rollup_exact_incremental": rollup_exact_incremental,
     "rpss_components": rpss_components,
     "rpss_scores": _on_feeds(score),
     "rpss_scores_exact": _on_feeds(lambda f: score(f, exact=True)),
