@@ -8,16 +8,17 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recall_lens.functions.cleaning import with_alias
 from recall_lens.functions.display import percent
+from recall_lens.operators.dictionary import ordered_codes
 from recall_lens.operators.names import with_device_names
 from recall_lens.operators.publish import top_devices
-from recall_lens.operators.skew import spread_rank
+from recall_lens.operators.skew import salted_join, spread_rank, stage
 
 FEATURES = ("rpss", "device_class", "root_cause_encoded", "log_adverse_events", "log_manufacturers")
 LABEL = "has_recall"
@@ -26,6 +27,8 @@ HIGH_RISK = 0.7
 # Parts the training rows are dealt to: at least so many, and one for so many rows.
 LEAST_PARTS = 8
 PART_ROWS = 500_000
+#: Thresholds a feature is cut at; causes are numbers, so there may be more of them.
+MOST_BINS = 256
 KEY = "PMA_PMN_NUM"
 
 
@@ -56,19 +59,14 @@ def valid_row() -> Column:
 
 def cause_codes(prepared: DataFrame) -> DataFrame:
     """Causes with their position in sorted order; as many rows as there are distinct causes."""
-    model = StringIndexer(inputCol="f_cause", outputCol="code", stringOrderType="alphabetAsc").fit(
-        prepared.select("f_cause")
-    )
-    labels = model.labelsArray[0]
-    return prepared.sparkSession.createDataFrame(
-        [(label, float(i)) for i, label in enumerate(labels)], "f_cause string, root_cause_encoded double"
-    )
+    codes = ordered_codes(prepared, "f_cause", "root_cause_encoded")
+    return codes.withColumn("root_cause_encoded", F.col("root_cause_encoded").cast("double"))
 
 
 def feature_table(scored: DataFrame) -> DataFrame:
     """The feature matrix and label, one row per device."""
     prepared = prepare(scored)
-    coded = prepared.join(cause_codes(prepared), "f_cause", "left")
+    coded = salted_join(prepared, cause_codes(prepared), ["f_cause"], [KEY], "left")
     return coded.select(
         KEY,
         F.col("f_rpss").alias("rpss"),
@@ -98,15 +96,17 @@ def _estimator(model_type: str, trees: int, max_bins: int) -> RandomForestClassi
 
 @dataclass
 class RecallClassifier:
-    """A fitted pipeline with the causes it has seen."""
+    """A fitted pipeline with the numbers of the causes it has seen."""
 
     model: PipelineModel
-    known_causes: list[str]
+    codes: DataFrame
 
     def _inputs(self, scored: DataFrame) -> DataFrame:
-        prepared = prepare(scored)
-        cause = F.when(F.col("f_cause").isin(self.known_causes), F.col("f_cause")).otherwise(F.lit("Other"))
-        return prepared.withColumn("f_cause", cause)
+        """Feature inputs; a cause not seen in training counts as 'Other', and as a number of its own if that is new too."""
+        other = F.col("root_cause_encoded")
+        fallback = self.codes.agg(F.coalesce(F.max(F.when(F.col("f_cause") == "Other", other)), F.max(other) + 1)).first()[0]
+        coded = salted_join(prepare(scored), self.codes, ["f_cause"], [KEY], "left")
+        return coded.withColumn("f_root_cause_encoded", F.coalesce("root_cause_encoded", F.lit(fallback)))
 
     def predict(self, scored: DataFrame) -> DataFrame:
         """Input columns with class and probability; rows with an invalid feature get 0 and 0.0."""
@@ -131,12 +131,13 @@ class RecallClassifier:
         )
 
     def save(self, path: str) -> None:
-        self.model.write().overwrite().save(path)
+        self.model.write().overwrite().save(f"{path}/model")
+        self.codes.write.mode("overwrite").parquet(f"{path}/causes")
 
     @classmethod
     def load(cls, path: str) -> RecallClassifier:
-        model = PipelineModel.load(path)
-        return cls(model, list(model.stages[0].labelsArray[0]))
+        model = PipelineModel.load(f"{path}/model")
+        return cls(model, SparkSession.active().read.parquet(f"{path}/causes"))
 
 
 def train(
@@ -145,25 +146,23 @@ def train(
     """Fit on the training part; returns the classifier and the test rows with their predictions."""
     _estimator(model_type, trees, 32)
     usable = prepare(scored).filter(valid_row())
-    indexer = StringIndexer(
-        inputCol="f_cause", outputCol="f_root_cause_encoded", stringOrderType="alphabetAsc", handleInvalid="keep"
-    )
     if usable.isEmpty():
         raise ValueError("no row has finite features")
-    labels = indexer.fit(usable)
+    codes = stage(cause_codes(usable), "cause-codes")
+    usable = salted_join(usable, codes, ["f_cause"], [KEY]).withColumnRenamed("root_cause_encoded", "f_root_cause_encoded")
     assembler = VectorAssembler(inputCols=[f"f_{c}" for c in FEATURES], outputCol="features")
     parts = stratified_split(usable, test_size)
-    estimator = _estimator(model_type, trees, max(32, len(labels.labelsArray[0]) + 2))
+    estimator = _estimator(model_type, trees, min(MOST_BINS, max(32, codes.count() + 2)))
     # Bootstrap samples depend on where a row lies, so rows are placed by their key, in as many parts as their number
     # asks for and not the session: the same data, the same trees.
     fitted = parts.filter(~F.col("is_test"))
     places = max(LEAST_PARTS, fitted.count() // PART_ROWS)
     fitted = fitted.repartition(places, KEY).sortWithinPartitions(KEY)
-    model = Pipeline(stages=[labels, assembler, estimator]).fit(fitted)
+    model = Pipeline(stages=[assembler, estimator]).fit(fitted)
     tested = model.transform(parts.filter("is_test")).select(
         KEY, LABEL, "prediction", "rawPrediction", vector_to_array("probability")[1].alias("recall_probability")
     )
-    return RecallClassifier(model, list(labels.labelsArray[0])), tested
+    return RecallClassifier(model, codes), tested
 
 
 def confusion_matrix(tested: DataFrame) -> DataFrame:

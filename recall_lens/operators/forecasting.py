@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from recall_lens.operators.timeseries import OVERALL
 
 # `exponential_smoothing` starts at the last value and blends it with itself, which leaves the last value.
-METHODS = ("moving_average", "last_value", "exponential_smoothing", "linear_trend")
+# `smoothed` is the smoother proper: it runs through all months of a category, from the first to the last.
+METHODS = ("moving_average", "last_value", "exponential_smoothing", "smoothed", "linear_trend")
+SMOOTHING = 0.3
 ALIGNMENTS = ("month_start", "month_end")
 
 
@@ -64,12 +66,27 @@ def _rescued(spine: DataFrame) -> DataFrame:
     return placed.withColumn("value", F.when(F.col("sum") == 0, rebuilt).otherwise(F.col("value")))
 
 
+def _smoothed(values: Column, weight: float) -> Column:
+    """The last level of a list of values in order: each value moves the level by `weight` of its distance from it."""
+    step = lambda level, value: F.coalesce(level + weight * (value - level), value)
+    return F.aggregate(values, F.lit(None).cast("double"), step)
+
+
 def forecast(
-    series: DataFrame, periods: int = 12, method: str = "moving_average", alignment: str = "month_start"
+    series: DataFrame,
+    periods: int = 12,
+    method: str = "moving_average",
+    alignment: str = "month_start",
+    smoothing: float = SMOOTHING,
 ) -> DataFrame:
-    """Forecast of every category: month end, value, and bounds at 0.7 and 1.3 of it."""
+    """Forecast of every category: month end, value, and bounds at 0.7 and 1.3 of it.
+
+    `smoothing` is the weight of the newest value in the method `smoothed`, over 0 and up to 1, which leaves the last value.
+    """
     if method not in METHODS:
         raise ValueError(f"no such method: {method}")
+    if not 0 < smoothing <= 1:
+        raise ValueError(f"smoothing is {smoothing}; it must be over 0 and up to 1")
     values = _rescued(monthly_spine(series, alignment))
     recent = F.col("from_end") <= 3
     position = F.col("length") - F.col("from_end")
@@ -81,6 +98,8 @@ def forecast(
         F.avg("value").alias("mean"),
         F.avg(F.when(recent, F.col("value"))).alias("recent_mean"),
         F.max(F.when(F.col("from_end") == 1, F.col("value"))).alias("last_value"),
+        # as many as a category has months
+        F.sort_array(F.collect_list(F.struct("month", "value"))).alias("months"),
         F.regr_slope(*fit).alias("slope"),
         F.regr_intercept(*fit).alias("intercept"),
     )
@@ -90,6 +109,8 @@ def forecast(
     elif method == "linear_trend":
         line = F.col("intercept") + F.col("slope") * (F.col("length") + F.col("step") - 1)
         value = F.greatest(line, F.lit(0.0), F.col("recent_mean") * 0.5)
+    elif method == "smoothed":
+        value = _smoothed(F.transform("months", lambda m: m["value"]), smoothing)
     else:
         value = F.col("last_value")
     value = F.when(F.col("length") == 1, F.col("last_value")).otherwise(value)

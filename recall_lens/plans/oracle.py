@@ -286,6 +286,7 @@ def _forecast(method: str, alignment: str = "month_start") -> str:
     step_value = {
         "moving_average": "CASE WHEN recent_mean = 0 THEN mean ELSE recent_mean END",
         "last_value": "last_value",
+        "smoothed": "smoothed",
         "linear_trend": "greatest(intercept + slope * (length + step - 1), 0, recent_mean * 0.5)",
     }[method]
     return (
@@ -325,6 +326,7 @@ shape AS (
   SELECT category, count(*) AS length, max(month) AS last_month, sum(value) AS total, avg(value) AS mean,
          avg(value) FILTER (WHERE from_end <= 3) AS recent_mean,
          max(value) FILTER (WHERE from_end = 1) AS last_value,
+         sum(value * power(0.7::DOUBLE, from_end - 1) * CASE WHEN from_end = length THEN 1 ELSE 0.3::DOUBLE END) AS smoothed,
          regr_slope(value, length - from_end) FILTER (WHERE from_end <= 3) AS slope,
          regr_intercept(value, length - from_end) FILTER (WHERE from_end <= 3) AS intercept
   FROM rescued GROUP BY category
@@ -548,6 +550,7 @@ FROM scored WHERE rpss_category IS NOT NULL""",
     "forecast_moving_average": _forecast_query("moving_average"),
     "forecast_last_value": _forecast_query("last_value"),
     "forecast_exponential_smoothing": _forecast_query("last_value"),
+    "forecast_smoothed": _forecast_query("smoothed"),
     "forecast_linear_trend": _forecast_query("linear_trend"),
     "forecast_month_end_parity": _forecast_query("moving_average", "month_end"),
     "forecast_linear_month_end_parity": _forecast_query("linear_trend", "month_end"),

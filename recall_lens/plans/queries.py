@@ -424,6 +424,7 @@ QUERIES: dict[str, Query] = {
     "forecast_moving_average": _forecast("moving_average"),
     "forecast_last_value": _forecast("last_value"),
     "forecast_exponential_smoothing": _forecast("exponential_smoothing"),
+    "forecast_smoothed": _forecast("smoothed"),
     "forecast_linear_trend": _forecast("linear_trend"),
     "forecast_month_end_parity": _forecast("moving_average", "month_end"),
     "forecast_linear_month_end_parity": _forecast("linear_trend", "month_end"),
