@@ -235,7 +235,9 @@ def top_predictions(
     `names` may be a function of the asked numbers, so that no others are looked up.
     """
     rows = predicted.filter(F.col("recall_probability") > HIGH_RISK) if high_risk_only else predicted
-    top = top_devices(rows, n, "recall_probability")
+    listed = top_devices(rows, n, "recall_probability")
+    # n rows at most: kept as they are, so that nothing is predicted again for the names
+    top = predicted.sparkSession.createDataFrame(listed.collect(), listed.schema)
     found = names(top.select(KEY)) if callable(names) else names
     named = with_device_names(top, found, F.col(KEY) if high_risk_only else None)
     return named.select(

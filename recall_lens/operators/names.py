@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,10 @@ from recall_lens.operators.skew import salted_join
 from recall_lens.sources.testdata import Feeds
 
 UNKNOWN_DEVICE = "Unknown Device"
+KEY = "PMA_PMN_NUM"
+#: Row groups of published names, and the most devices whose numbers become part of a scan's filter.
+NAME_GROUP_BYTES = 1 << 20
+MOST_ASKED = 200
 
 
 def names_from_view(view: DataFrame) -> DataFrame:
@@ -96,6 +102,26 @@ def device_names(feeds: Feeds, fallback: str | None = NO_NAME, only: DataFrame |
     return best.withColumn("device_name", F.coalesce("device_name", F.lit(fallback)))
 
 
+def publish_names(names: DataFrame, path: str) -> None:
+    """Write names so that a few devices are found without reading the rest: sorted by device number into small row groups,
+    each with a Bloom filter of its numbers."""
+    column = f"#{KEY}"
+    writer = names.repartitionByRange(KEY).sortWithinPartitions(KEY).write.option("parquet.block.size", NAME_GROUP_BYTES)
+    writer = writer.option(f"parquet.bloom.filter.enabled{column}", True).option(f"parquet.bloom.filter.fpp{column}", "0.001")
+    writer.option("parquet.bloom.filter.adaptive.enabled", True).mode("error").parquet(path)
+
+
+def lookup_names(published: DataFrame, asked: DataFrame) -> DataFrame:
+    """The names of the devices asked for, null where none is published; up to MOST_ASKED of them reach the scan as
+    equalities, which its row groups' ranges and Bloom filters are tested with."""
+    numbers = asked.select(KEY).distinct()
+    few = [r[0] for r in numbers.limit(MOST_ASKED + 1).collect()]
+    if len(few) <= MOST_ASKED:
+        wanted = [F.col(KEY) == n for n in few if n is not None]
+        published = published.filter(reduce(lambda a, b: a | b, wanted, F.lit(False)))
+    return numbers.join(published, KEY, "left")
+
+
 def with_device_names(scored: DataFrame, names: DataFrame, fallback: Column | None = None) -> DataFrame:
     """Attach names; devices without one show the fallback."""
     missing = F.lit(NO_NAME) if fallback is None else fallback

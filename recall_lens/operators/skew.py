@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -32,6 +33,19 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def folder_state(spark: SparkSession, folder: str) -> str:
+    """A digest of the names, sizes and times of the files of a folder, two levels deep: it changes when they do."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return "absent"
+    found = []
+    for status in files.listStatus(path):
+        inside = files.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [(str(s.getPath()), s.getLen(), s.getModificationTime()) for s in inside]
+    return hashlib.sha256(repr(sorted(found)).encode()).hexdigest()
+
+
 _staged: list[str] = []
 
 

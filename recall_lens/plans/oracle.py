@@ -640,6 +640,11 @@ SELECT metric, round(precision, 6) AS precision, round(recall, 6) AS recall, rou
 
 ORACLE |= {
     "upsert_bucketed": ORACLE["upsert_scores"],
+    "names_lookup": _select(
+        SCORED + "," + NAMES,
+        """SELECT t.PMA_PMN_NUM, n.device_name FROM ((SELECT PMA_PMN_NUM FROM scored ORDER BY rpss DESC, PMA_PMN_NUM LIMIT 20)
+  UNION ALL SELECT 'no such device') t LEFT JOIN names n USING (PMA_PMN_NUM)""",
+    ),
     "rollup_incremental": ORACLE["device_rollup"],
     "rollup_exact_incremental": ORACLE["device_rollup_exact"],
     "ingest_adverse_events": """SELECT CAST(event_id AS VARCHAR) AS MDR_REPORT_KEY, 'K' || user_id AS PMA_PMN_NUM,

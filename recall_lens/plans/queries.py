@@ -16,7 +16,7 @@ from recall_lens.operators.incremental import RollupState
 from recall_lens.operators.integration import integrated_view
 from recall_lens.operators.rollup import device_rollup, device_rollup_exact
 from recall_lens.operators.scoring import FEATURES, score_components
-from recall_lens.operators.skew import stage
+from recall_lens.operators.skew import folder_state, stage
 from recall_lens.plans import round_trips
 from recall_lens.plans.refresh import score
 from recall_lens.plans.round_trips import new_folder
@@ -44,17 +44,34 @@ CHOSEN = DeviceFilter(
 EVERYTHING = DeviceFilter()
 TEXT_WIDTHS = {"KNUMBER": 20, "DEVICENAME": 1000, "STATEORSUMM": None}
 
-_published: dict[tuple[str, str, bool], DataFrame] = {}
+_published: dict[tuple[str, ...], DataFrame] = {}
 
 
-def published(spark: SparkSession, folder: str, exact: bool = False) -> DataFrame:
-    """The score table of a folder: scored and written once per session, then read like any published table."""
-    key = (spark.sparkContext.applicationId, folder, exact)
+def _once(spark: SparkSession, folder: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table of a folder, made once per session and state of the folder's files."""
+    key = (spark.sparkContext.applicationId, folder, folder_state(spark, folder), name)
     if key not in _published:
-        _published[key] = stage(score(feeds(spark, folder), exact), "device-rpss")
+        _published[key] = make()
     return _published[key]
 
 
+def published(spark: SparkSession, folder: str, exact: bool = False) -> DataFrame:
+    """The score table of a folder: scored and written once, then read like any published table."""
+    name = "exact scores" if exact else "scores"
+    return _once(spark, folder, name, lambda: stage(score(feeds(spark, folder), exact), "device-rpss"))
+
+
+def published_names(spark: SparkSession, folder: str) -> DataFrame:
+    """The name table of a folder, as `names.publish_names` writes it."""
+
+    def make() -> DataFrame:
+        path = f"{new_folder(spark)}/names"
+        names.publish_names(names.device_names(feeds(spark, folder), None), path)
+        return spark.read.parquet(path)
+
+    return _once(spark, folder, "names", make)
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
     return df.withColumns({c: F.round(f"`{c}`", digits) for c in doubles})
@@ -313,14 +330,15 @@ def ml_split(spark: SparkSession, folder: str) -> DataFrame:
     return classify.stratified_split(prepared).select("PMA_PMN_NUM", "has_recall", "is_test")
 
 
-_trained: dict[tuple[str, str, str], tuple[classify.RecallClassifier, DataFrame]] = {}
+_trained: dict[tuple[str, ...], tuple[classify.RecallClassifier, DataFrame]] = {}
 
 
 def trained(
     spark: SparkSession, folder: str, model_type: str = "random_forest"
 ) -> tuple[classify.RecallClassifier, DataFrame]:
-    """The classifier of a folder, trained once per session and type; all its reports come from that one training."""
-    key = (spark.sparkContext.applicationId, folder, model_type)
+    """The classifier of a folder, trained once per session, state of the folder's files and type; all its reports come
+    from that one training."""
+    key = (spark.sparkContext.applicationId, folder, folder_state(spark, folder), model_type)
     if key not in _trained:
         _trained[key] = classify.train(published(spark, folder), model_type=model_type)
     return _trained[key]
@@ -367,13 +385,23 @@ def _top_list(high_risk_only: bool) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         scored = published(spark, folder)
         model, _ = trained(spark, folder)
-        source = feeds(spark, folder)
-        found = lambda asked: names.device_names(source, names.UNKNOWN_DEVICE, asked)
+
+        def found(asked: DataFrame) -> DataFrame:
+            named = names.lookup_names(published_names(spark, folder), asked)
+            return named.withColumn("device_name", F.coalesce("device_name", F.lit(names.UNKNOWN_DEVICE)))
+
         return rounded(classify.top_predictions(model.predict(scored), found, high_risk_only=high_risk_only))
 
     return run
 
 
+def names_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of the 20 highest devices and of one that no feed has, found in the published name table."""
+    top = publish.top_devices(published(spark, folder), 20).select(publish.KEY)
+    asked = top.unionByName(spark.createDataFrame([("no such device",)], top.schema))
+    return names.lookup_names(published_names(spark, folder), asked)
+
+
 def ml_high_risk_count(spark: SparkSession, folder: str) -> DataFrame:
     scored = published(spark, folder)
     model, _ = trained(spark, folder)
@@ -394,6 +422,7 @@ QUERIES: dict[str, Query] = {
     "upsert_bucketed": upsert_bucketed,
     "scored_view": lambda spark, folder: rounded(publish.scored_view(_stamped(spark, folder))),
     "device_names": _on_feeds(names.device_names),
+    "names_lookup": names_lookup,
     "export_snapshot": export_snapshot,
     "name_coverage": name_coverage,
     "summary_stats": _on_scores(analytics.summary_stats),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from feed_rows import random_rows, spark_feeds
 from recall_lens.operators import publish, skew
-from recall_lens.operators.names import name_coverage, with_device_names
+from recall_lens.operators.names import lookup_names, name_coverage, publish_names, with_device_names
 from recall_lens.operators.publish import dedup_staging, snapshot, top_devices, upsert_scores
 from recall_lens.plans.refresh import refresh, score
 from recall_lens.sinks.files import write_csv, write_snapshot
@@ -135,3 +135,24 @@ def test_refresh_publishes_and_leaves_no_staged_tables(spark, tmp_path):
 def test_top_devices_breaks_ties_by_number(spark):
     scored = spark.createDataFrame([row("b", 0.5), row("a", 0.5), row("c", None), row("d", 0.9)], STAGED)
     assert [r["PMA_PMN_NUM"] for r in top_devices(scored, 3).collect()] == ["d", "a", "b"]
+
+
+def test_published_names_are_looked_up(spark, tmp_path):
+    names = spark.range(30_000).selectExpr("concat('K', lpad(id, 6, '0')) AS PMA_PMN_NUM", "if(id % 9 = 0, NULL, concat('name ', id)) AS device_name")
+    publish_names(names, f"{tmp_path}/names")
+    table = spark.read.parquet(f"{tmp_path}/names")
+    asked = spark.createDataFrame([("K000010",), ("K000010",), ("K029999",), ("K000009",), ("unheard",), (None,)], "PMA_PMN_NUM string")
+    found = lookup_names(table, asked)
+    assert sorted((r[0] or "", r[1]) for r in found.collect()) == [("", None), ("K000009", None), ("K000010", "name 10"), ("K029999", "name 29999"), ("unheard", None)]
+    assert "EqualTo(PMA_PMN_NUM,K000010)" in found._jdf.queryExecution().toString()
+    many = lookup_names(table, table.select("PMA_PMN_NUM"))
+    assert many.count() == 30_000 and many.filter("device_name IS NULL").count() == names.filter("device_name IS NULL").count()
+    assert lookup_names(table, asked.limit(0)).count() == 0
+
+
+def test_what_is_kept_follows_the_files(spark, tmp_path):
+    before = skew.folder_state(spark, str(tmp_path))
+    spark.range(1).write.parquet(f"{tmp_path}/t.parquet")
+    after = skew.folder_state(spark, str(tmp_path))
+    assert before != after == skew.folder_state(spark, str(tmp_path))
+    assert skew.folder_state(spark, f"{tmp_path}/absent") == "absent"
