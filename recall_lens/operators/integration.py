@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recall_lens.operators.skew import salted_join, stage
+from recall_lens.operators.skew import hot_salted_join, hot_values, salted_join, stage
 from recall_lens.sources.testdata import Feeds
 
 # The recall columns of the view; one value of this struct is one recall as the view shows it.
@@ -202,9 +202,9 @@ def _shared_counts(sets: DataFrame, p: DataFrame, k: DataFrame, kinds: tuple[str
     side = lambda df, c: df.select("code", F.col(c).alias("number")).dropna().distinct()
     left = salted_join(sets, side(p, "pma_number"), ["number"], ["x"]).withColumnRenamed("number", "pma_number")
     right = salted_join(sets, side(k, "k_number"), ["number"], ["x"]).withColumnRenamed("number", "k_number")
+    shared = hot_salted_join(left, right, ["x", "code", "kind"], hot_values(sets, "x"), ["pma_number"])
     return (
-        left.join(right, ["x", "code", "kind"])
-        .groupBy("code", "pma_number", "k_number")
+        shared.groupBy("code", "pma_number", "k_number")
         .agg(*[F.count(F.when(F.col("kind") == kind, 1)).alias(f"both_{kind}") for kind in kinds])
     )
 
