@@ -17,6 +17,7 @@ smaller doc_id. Four steps find them:
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import compress
 
 import ahocorasick
 import numpy as np
@@ -32,27 +33,55 @@ GRAM = 8
 #: Bytes of documents that share an automaton.
 SHARD_BYTES = 6 << 20
 
+#: Low bits of a gram's hash that give way to its place, so that the leftmost of equal ones is the least.
+_PLACE = np.uint64((1 << 24) - 1)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _STRETCH = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("gram", pa.int64()), ("stretch", pa.int64())])
 
 
+class _Powers:
+    """Powers of the base and of its inverse, as far as they have been asked for."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def first(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.up):
+            size = max(n, 2 * len(self.up))
+            self.up, self.down = (np.cumprod(np.concatenate(([np.uint64(1)], np.full(size - 1, x)))) for x in (_BASE, _INVERSE))
+        return self.up[:n], self.down[:n]
+
+
+_POWERS = _Powers()
+
+
+def least_grams(grams: np.ndarray) -> np.ndarray:
+    """For every window, the place of its least gram, by the hash without its low bits; the leftmost of several."""
+    width = SPAN - GRAM + 1
+    if len(grams) > _PLACE:
+        return np.lib.stride_tricks.sliding_window_view(grams & ~_PLACE, width).argmin(1) + np.arange(len(grams) - width + 1)
+    run, size = grams & ~_PLACE | np.arange(len(grams), dtype=np.uint64), 1
+    while 2 * size <= width:  # the least of `size` neighbours, doubled
+        run = np.minimum(run[:-size], run[size:])
+        size *= 2
+    rest = width - size
+    return ((np.minimum(run[:-rest], run[rest:]) if rest else run) & _PLACE).astype(np.int64)
+
+
 def stretches(words: np.ndarray) -> tuple[np.ndarray, ...]:
     """start, n (windows), gram and hash of the words of each stretch of a document given as word hashes."""
     n = len(words) - SPAN + 1
     if n <= 0:
         return tuple(np.empty(0, t) for t in (np.int32, np.int32, np.int64, np.int64))
     grams = window_hashes(words, GRAM)
-    least = np.lib.stride_tricks.sliding_window_view(grams, SPAN - GRAM + 1).argmin(1) + np.arange(n)
+    least = least_grams(grams)
     starts = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
     many = np.diff(starts, append=n)
     stop = starts + many + SPAN - 1
-    power = np.full(len(words) + 1, _BASE)
-    power[0] = 1
-    back = np.full(len(words) + 1, _INVERSE)
-    back[0] = 1
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(words) * np.cumprod(power)[:-1])])
-    whole = mixed((sums[stop] - sums[starts]) * np.cumprod(back)[starts] + many.astype(np.uint64))
+    up, down = _POWERS.first(len(words))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed(words) * up)])
+    whole = mixed((sums[stop] - sums[starts]) * down[starts] + many.astype(np.uint64))
     return starts.astype(np.int32), many.astype(np.int32), grams[least[starts]].view(np.int64), whole.view(np.int64)
 
 
@@ -132,6 +161,17 @@ def shared_parts(passages: DataFrame, staging: Staging) -> DataFrame:
     return joined.mapInArrow(parts, "owner long, words string, source long")
 
 
+class _Numbered(dict):
+    """Numbers of words, and one number for all others."""
+
+    def __init__(self, numbers: dict[bytes, int], none: int) -> None:
+        super().__init__(numbers)
+        self.none = none
+
+    def __missing__(self, word: bytes) -> int:
+        return self.none
+
+
 class Automaton:
     """Locates passages, given as words, in documents: (source, words) with the smallest source of equal words."""
 
@@ -144,18 +184,24 @@ class Automaton:
             known = self.search.get(key, None)
             self.search.add_word(key, (len(key), source if known is None else min(source, known[1])))
         self.none = len(self.numbers)
+        self.get = _Numbered(self.numbers, self.none).__getitem__
         if len(self.search):
             self.search.make_automaton()
 
     def covered(self, doc_id: int, words: list[bytes]) -> np.ndarray:
-        """Which words lie in an occurrence of a passage from a smaller document."""
+        """Which words lie in an occurrence of a passage from a smaller document. A passage is made of known words, so the
+        automaton reads the stretches of SPAN known words or more."""
         steps = np.zeros(len(words) + 1, np.int64)
-        if len(self.search):
-            get, none = self.numbers.get, self.none
-            for end, (length, source) in self.search.iter(tuple([get(w, none) for w in words])):
-                if source < doc_id:
-                    steps[end - length + 1] += 1
-                    steps[end + 1] -= 1
+        if len(self.search) and len(words) >= SPAN:
+            numbers = list(map(self.get, words))
+            unknown = np.flatnonzero(np.array(numbers) == self.none)
+            edges = np.concatenate(([-1], unknown, [len(words)]))
+            for k in np.flatnonzero(np.diff(edges) > SPAN).tolist():
+                first = int(edges[k]) + 1
+                for end, (length, source) in self.search.iter(tuple(numbers[first : edges[k + 1]])):
+                    if source < doc_id:
+                        steps[first + end - length + 1] += 1
+                        steps[first + end + 1] -= 1
         return np.cumsum(steps[:-1]) > 0
 
 
@@ -211,11 +257,14 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), whole_as_is: bo
         for doc_id, text in zip(docs["doc_id"].to_pylist(), docs["text"].to_pylist(), strict=True):
             words = (text or "").encode().split()
             gone = automaton.covered(doc_id, words) if doc_id is not None else np.zeros(len(words), bool)
-            if gone.any() or not whole_as_is:
-                text = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]).decode()
+            lost = int(gone.sum())
+            if lost:
+                words = list(compress(words, (~gone).tolist()))
+            if lost or not whole_as_is:
+                text = b" ".join(words).decode()
             texts.append(text)
-            words_.append(len(words))
-            removed.append(int(gone.sum()))
+            words_.append(len(gone))
+            removed.append(lost)
         columns = [docs["doc_id"], pa.array(texts, pa.string()), *[docs[c] for c in carry], pa.array(words_, pa.int64()), pa.array(removed, pa.int64())]
         return pa.table(columns, names=["doc_id", "text", *carry, "n_words", "n_removed"])
 

@@ -11,9 +11,6 @@ import numpy as np
 import pyarrow as pa
 from xxhash import xxh3_64_intdigest
 
-#: Words whose hash a Python worker remembers (about 40 MB); others are hashed each time they come.
-CACHE_WORDS = 200_000
-
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _MASK = (1 << 64) - 1
 
@@ -23,19 +20,8 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = xxh3_64_intdigest(word)
-        if len(self) < CACHE_WORDS:
-            self[word] = value
-        return value
-
-
-_HASHES = _Hashes()
-
-
 def word_hashes(words: Sequence[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
