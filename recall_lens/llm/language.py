@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recall_lens.llm.staging import small_batches
+from recall_lens.llm.staging import Carried, small_batches
 from recall_lens.llm.text import batch
 
 #: Characters of labelled text that are learnt of a language at most, and from one document at most.
@@ -248,10 +248,13 @@ def identify(docs: DataFrame, languages: Languages, carry: tuple[str, ...] = ())
     (doc_id, text).
 
     Null text, text without a letter, and any text when nothing was learnt get `und`, with score 0. Nothing but the
-    text is looked at. Repeated rows and rows without a doc_id are judged like others.
+    text is looked at. Repeated rows and rows without a doc_id are judged like others. A carried column that has the name
+    of one of the first five comes back as `<name>_carried`.
     """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(languages)
+    carried = Carried(carry, _ARROW.names)
+    names_ = [*_ARROW.names, *carried.inner()]
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -259,11 +262,12 @@ def identify(docs: DataFrame, languages: Languages, carry: tuple[str, ...] = ())
         for b in batches if len(model.groups) < 2 else _gathered(batches):
             names, score, bits, size = model.judge([x or "" for x in b.column(1).to_pylist()])
             own = batch(_ARROW, [b.column(0), names, score, bits, size])
-            yield pa.RecordBatch.from_arrays([*own.columns, *b.columns[2:]], names=[*_ARROW.names, *carry])
+            yield pa.RecordBatch.from_arrays([*own.columns, *b.columns[1 if carried.text else 2 :]], names=names_)
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text", *carry)
-    schema = T.StructType([*T.StructType.fromDDL(_SCHEMA), *docs.select(*carry).schema])
-    return rows.mapInArrow(predict, schema)
+    rows = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.col("text").alias("own_text"), *carried.held())
+    taken = rows.schema.fields[1 if carried.text else 2 :]
+    schema = T.StructType([*T.StructType.fromDDL(_SCHEMA), *[T.StructField(n, f.dataType) for n, f in zip(carried.inner(), taken, strict=True)]])
+    return rows.mapInArrow(predict, schema).select(*_ARROW.names, *carried.back())
 
 
 def with_letter(docs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recall_lens.llm.staging import Staging, small_batches
+from recall_lens.llm.staging import Carried, Staging, small_batches
 from recall_lens.llm.text import batch, mixed, texts_of, window_hashes, word_hashes
 
 SPAN = 50
@@ -220,7 +220,8 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), whole_as_is: bo
     of `docs` (doc_id, text). `whole_as_is` leaves the text of rows that lose nothing as it is, null included.
 
     Null, empty and blank texts have no words and come back empty. A row without a doc_id is before and after no other:
-    it comes back whole, and takes nothing from others. Rows that repeat a doc_id take nothing from each other.
+    it comes back whole, and takes nothing from others. Rows that repeat a doc_id take nothing from each other. A carried
+    column that has the name of one of the first four comes back as `<name>_carried`.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -248,7 +249,10 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), whole_as_is: bo
     phrases = phrases.select(F.col("shard").alias("to"), F.col("source"), F.col("words").alias("phrase"))
     own, row = F.col("doc_id").cast("long"), F.monotonically_increasing_id()
     salt = F.pmod(F.xxhash64(row), F.coalesce(F.element_at(dealt, own), F.lit(1)).cast("long")).cast("int")
-    rows = docs.select(shard(F.coalesce(own, F.xxhash64(row)), salt), own.alias("doc_id"), "text", *carry)
+    out = ["doc_id", "text", "n_words", "n_removed"]
+    carried = Carried([c for c in carry if c not in ("doc_id", "text")], out)
+    taken = carried.inner()
+    rows = docs.select(shard(F.coalesce(own, F.xxhash64(row)), salt), own.alias("doc_id"), "text", *carried.held())
     kept = rows.drop("shard")
 
     def remove(docs: pa.Table, phrases: pa.Table) -> pa.Table:
@@ -265,8 +269,9 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), whole_as_is: bo
             texts.append(text)
             words_.append(len(gone))
             removed.append(lost)
-        columns = [docs["doc_id"], pa.array(texts, pa.string()), *[docs[c] for c in carry], pa.array(words_, pa.int64()), pa.array(removed, pa.int64())]
-        return pa.table(columns, names=["doc_id", "text", *carry, "n_words", "n_removed"])
+        columns = [docs["doc_id"], pa.array(texts, pa.string()), *[docs[c] for c in taken], pa.array(words_, pa.int64()), pa.array(removed, pa.int64())]
+        return pa.table(columns, names=["doc_id", "text", *taken, "n_words", "n_removed"])
 
     schema = kept.schema.add("n_words", "long").add("n_removed", "long")
-    return rows.groupBy("shard").cogroup(phrases.groupBy("to")).applyInArrow(remove, schema)
+    done = rows.groupBy("shard").cogroup(phrases.groupBy("to")).applyInArrow(remove, schema)
+    return done.select("doc_id", "text", *carried.back(), "n_words", "n_removed")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest
 
-from recall_lens.llm.staging import small_batches
+from recall_lens.llm.staging import Carried, small_batches
 from recall_lens.llm.text import batch, texts_of
 
 #: Labelled rows that are learnt from at most, chosen by hash of doc_id.
@@ -124,7 +124,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Ordi
     n = graded.count()
     if n > rows:
         graded = graded.where(F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(1 << 30)) < (rows << 30) // n)
-    sample = graded.limit(rows)  # the share above may be a few rows over
+    sample = graded.orderBy(F.xxhash64("doc_id", F.lit("toxic")), "doc_id").limit(rows)  # the share may be a few rows over
     joined = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample), "doc_id")
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,10 +160,13 @@ def grade(docs: DataFrame, model: Ordinal, carry: tuple[str, ...] = ()) -> DataF
     least TOXIC, by words that speak for it) and the columns of `carry` of every row of `docs` (doc_id, text).
 
     Whole texts are read. Null and empty texts have no words, so they get the grade of a text without any known word.
-    Repeated rows and rows without a doc_id are graded like others.
+    Repeated rows and rows without a doc_id are graded like others. A carried column that has the name of one of the first
+    four comes back as `<name>_carried`.
     """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    carried = Carried(carry, _ARROW.names)
+    names = [*_ARROW.names, *carried.inner()]
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -180,8 +183,9 @@ def grade(docs: DataFrame, model: Ordinal, carry: tuple[str, ...] = ()) -> DataF
             scores = np.array(scores, float)
             over = model.grades(scores)
             own = batch(_ARROW, [b.column(0), over.sum(1), over[:, 0], (over[:, 0] >= TOXIC) & (scores > 0)])
-            yield pa.RecordBatch.from_arrays([*own.columns, *b.columns[2:]], names=[*_ARROW.names, *carry])
+            yield pa.RecordBatch.from_arrays([*own.columns, *b.columns[1 if carried.text else 2 :]], names=names)
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text", *carry)
-    schema = T.StructType([*T.StructType.fromDDL("doc_id long, severity double, p_toxic double, toxic boolean"), *docs.select(*carry).schema])
-    return rows.mapInArrow(predict, schema)
+    rows = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.col("text").alias("own_text"), *carried.held())
+    taken = [T.StructField(n, f.dataType) for n, f in zip(carried.inner(), rows.schema.fields[1 if carried.text else 2 :], strict=True)]
+    schema = T.StructType([*T.StructType.fromDDL("doc_id long, severity double, p_toxic double, toxic boolean"), *taken])
+    return rows.mapInArrow(predict, schema).select(*_ARROW.names, *carried.back())

@@ -17,11 +17,21 @@ AWKWARD = [
 ]
 
 
+#: Names of columns that operators return or use inside.
+CLASHING = (
+    "length", "piece", "n_tokens", "rank_", "words_", "start", "offset", "sequence_id", "part_", "n_", "first_", "ids_crc32", "ids",
+    "n_words", "n_removed", "shard", "salt", "to", "phrase", "gram", "stretch", "owner", "source_", "kept_sha256", "carried_0", "carried_text",
+    "lang_pred", "score", "bits_per_symbol", "n_symbols", "place", "bound", "n", "own_id", "own_text", "severity", "p_toxic", "toxic", "grade",
+    "n_shingles", "component_id", "kept", "kept_id", "kept_mark", "key", "root", "mark", "train", "base_score", "n_known", "word_chars",
+    "n_bytes", "over_limit", "runs", "a.b", "column_5", "text_digest",
+)
+
+
 @pytest.fixture(scope="session")
 def awkward(spark):
     """The awkward documents, with extra columns whose names operators use themselves."""
-    rows = [Row(doc_id=i, text=t, lang=None if k % 3 else "en", source="s", n_chars=0, length=9, piece="p", n_tokens="x", rank_=1, words_=2) for k, (i, t) in enumerate(AWKWARD)]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, length int, piece string, n_tokens string, rank_ int, words_ int")
+    rows = [Row(doc_id=i, text=t, lang=None if k % 3 else "en", source="s", n_chars=0, **dict.fromkeys(CLASHING, 7)) for k, (i, t) in enumerate(AWKWARD)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` int" for c in CLASHING))
 
 
 @pytest.fixture(scope="session")
