@@ -19,45 +19,54 @@ ORACLE_SQL = None
 _MARK = "text_digest_of_the_pipeline"
 
 
-def _others(docs: DataFrame) -> tuple[str, ...]:
-    return tuple(c for c in docs.columns if c != "doc_id")
+_READ = ("doc_id", "text", "lang", "n_chars")
+
+
+def _plain(docs: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
+    """The documents with all columns that no stage reads under names that no operator has, and what to carry along."""
+    names = [c if c in _READ else f"column_{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), tuple(c for c in names if c != "doc_id")
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language; those whose text is missing or has no letter go. Which language the parse finds
-    rejects nothing, and where no row is labelled nothing is parsed."""
+    """Documents in some language; those whose text is missing or has no letter go. A document without a lang gets the
+    language that the parse finds. Where no row is labelled nothing is learnt: then only letters are looked for."""
     model = language.learn(docs)
+    plain, carry = _plain(docs)
     if not model.samples:
-        return language.with_letter(docs)
-    found = language.identify(docs, model, _others(docs))
-    return found.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+        return language.with_letter(plain).toDF(*docs.columns)
+    found = language.identify(plain, model, carry).where(F.col("lang_pred") != language.UNKNOWN)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*plain.columns).toDF(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not graded toxic by a model of the labelled ones."""
+    """Documents that are not graded toxic by a model of the labelled ones. Rows without a doc_id or a text, and repeated
+    ones, are graded like others; without labels nothing goes."""
     model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.grade(docs, model, _others(docs)).where(~F.col("toxic")).select(*docs.columns)
+    plain, carry = _plain(docs)
+    return toxicity.grade(plain, model, carry).where(~F.col("toxic")).select(*plain.columns).toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near duplicates, and all documents in no group. Of rows
     equal in doc_id and text one stays."""
-    marked = docs.withColumn(_MARK, F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    plain, _ = _plain(docs)
+    marked = plain.withColumn(_MARK, F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     kept = near_duplicates.group(marked, (_MARK,)).where("kept").select(F.col("doc_id").alias("kept_id"), F.col(_MARK).alias("kept_mark")).distinct()
     once = marked.dropDuplicates(["doc_id", _MARK])
     same = once["doc_id"].eqNullSafe(kept["kept_id"]) & (once[_MARK] == kept["kept_mark"])
-    return once.join(kept, same, "left_semi").select(*docs.columns)
+    return once.join(kept, same, "left_semi").select(*plain.columns).toDF(*docs.columns)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 50 words or more that an earlier one holds; n_chars is that of the new text."""
-    others = tuple(c for c in _others(docs) if c not in ("text", "n_chars"))
-    left = repeats.remove_repeats(docs, others, whole_as_is=True)
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    plain, carry = _plain(docs)
+    left = repeats.remove_repeats(plain, tuple(c for c in carry if c not in ("text", "n_chars")), whole_as_is=True)
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(*plain.columns).toDF(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' pieces with their places in sequences of 4096 tokens."""
+    """The documents' pieces with their places in sequences of 4096 tokens; a document without text is its end token."""
     return packing.pack_documents(docs)
 
 
