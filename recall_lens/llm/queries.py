@@ -135,6 +135,55 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_repeats": r"""
+WITH texts AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+spans AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS i, w FROM texts WHERE len(w) >= 50),
+hashed AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS h FROM spans),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS first FROM hashed) WHERE first < doc_id),
+placed AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM texts),
+marked AS (
+    SELECT p.doc_id, p.i, p.word, max(CASE WHEN l.i IS NULL THEN 0 ELSE 1 END) OVER
+        (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+    FROM placed AS p LEFT JOIN later AS l ON l.doc_id = p.doc_id AND l.i = p.i),
+kept AS (SELECT doc_id, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS text FROM marked GROUP BY doc_id)
+SELECT t.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM texts AS t LEFT JOIN kept AS k ON k.doc_id = t.doc_id""",
+    "op6_quality_rules": r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents),
+spans AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, w FROM texts WHERE len(w) >= 8),
+twice AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 7], ' ')) > 1 AS again FROM spans),
+covered AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS j FROM twice WHERE again) GROUP BY doc_id),
+measured AS (
+    SELECT t.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+        (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+        length(text) - length(replace(text, chr(10), '')) AS feeds, length(text) - length(regexp_replace(text, '\p{L}', '', 'g')) AS letters
+    FROM texts AS t LEFT JOIN covered AS c ON c.doc_id = t.doc_id),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND 100 * n_symbols <= 10 * word_chars AND word_chars BETWEEN 2 * n_words AND 15 * n_words
+    AND 2 * n_dup_lines <= 1 + feeds AND 2 * letters >= word_chars AS kept
+FROM judged""",
+    "op8_near_duplicates": r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+    FROM texts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles AS x JOIN shingles AS y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+    SELECT c.a, c.b FROM common AS c JOIN sizes AS x ON x.doc_id = c.a JOIN sizes AS y ON y.doc_id = c.b
+    WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)),
+reached AS (SELECT doc_id AS a, doc_id AS b FROM texts UNION SELECT r.a, l.b FROM reached AS r JOIN links AS l ON l.a = r.b),
+roots AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM roots LEFT JOIN sizes USING (doc_id)""",
     "op11_chat": r"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
