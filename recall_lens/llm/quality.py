@@ -18,6 +18,9 @@ from recall_lens.llm.staging import Staging
 
 #: Rows on which cost and selectivity are estimated, about.
 SAMPLE_ROWS = 2_000
+#: Times that each text of the sample is measured for a rule's cost, and the least cost told apart from none.
+REPEATS = 3
+LEAST_SECONDS = 1e-3
 WINDOW = 8
 _BLANK = " \t\n\x0b\x0c\r"
 
@@ -103,22 +106,31 @@ def standard_rules() -> list[Rule]:
 
 
 def estimate(sample: DataFrame, rules: list[Rule]) -> list[tuple[Rule, float, float]]:
-    """Each rule with its seconds and the share it rejects of `sample`, a lazy plan of the measures over few documents.
+    """Each rule with its cost, in seconds, and the share it rejects of `sample` (doc_id, text), a few documents.
 
-    Each rule computes the measures that it needs, and no others, from the texts. An empty sample gives every rule a
-    share of 0.
+    Each rule computes the measures that it needs, and no others, from the texts, REPEATS times over. What a job that only
+    reads the same texts takes is subtracted: start and end of a job cost every rule the same. Of two runs the quicker counts.
+    An empty sample gives every rule a share of 0.
     """
-    out = []
-    for rule in rules:
-        began = time.perf_counter()
-        got = sample.agg(F.count_if(~F.coalesce(rule.holds, F.lit(False))).alias("bad"), F.count("*").alias("n")).first()
-        out.append((rule, time.perf_counter() - began, got.bad / got.n if got.n else 0.0))
-    return out
+    often = sample.withColumn("turn", F.explode(F.sequence(F.lit(1), F.lit(REPEATS)))).drop("turn")
+
+    def timed(rows: DataFrame, bad: Column) -> tuple[float, float]:
+        seconds = []
+        for _ in range(2):
+            began = time.perf_counter()
+            got = rows.agg(F.count_if(bad).alias("bad"), F.count("*").alias("n")).first()
+            seconds.append(time.perf_counter() - began)
+        return min(seconds), got.bad / got.n if got.n else 0.0
+
+    measured = measure(often)
+    idle, _ = timed(often, F.length("text") < 0)
+    found = [(rule, *timed(measured, ~F.coalesce(rule.holds, F.lit(False)))) for rule in rules]
+    return [(rule, max(seconds - idle, LEAST_SECONDS), share) for rule, seconds, share in found]
 
 
 def order(estimates: list[tuple[Rule, float, float]]) -> list[Rule]:
     """Rules by rejection per cost, highest first; ties by name."""
-    return [r for r, cost, share in sorted(estimates, key=lambda x: (-x[2] / max(x[1], 1e-6), x[0].name))]
+    return [r for r, cost, share in sorted(estimates, key=lambda x: (-x[2] / x[1], x[0].name))]
 
 
 def cascade(measured: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -139,5 +151,5 @@ def judge(docs: DataFrame, rules: list[Rule] | None = None, sample_rows: int = S
     staging = Staging(docs.sparkSession, "quality")
     share = min(1.0, sample_rows / max(1, docs.count()))
     sample = staging.table(docs.select("doc_id", "text").sample(share, seed=1), "sample")
-    ordered = order(estimate(measure(sample), rules))
+    ordered = order(estimate(sample, rules))
     return cascade(measure(docs.select("doc_id", "text")), ordered).drop("text")

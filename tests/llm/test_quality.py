@@ -56,3 +56,14 @@ def test_cascade_order_changes_the_named_rule_only(spark):
     assert [r.kept for r in one] == [r.kept for r in two] == [False, True]
     assert (one[0].failed_rule, two[0].failed_rule) == ("few", "symbols")
     assert quality.order([(few, 1.0, 0.1), (symbols, 0.1, 0.1)]) == [symbols, few]
+
+
+def test_costs_are_those_of_the_rules(spark):
+    rules = quality.standard_rules()
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    found = {r.name: (cost, share) for r, cost, share in quality.estimate(docs, rules)}
+    assert all(cost >= quality.LEAST_SECONDS for cost, _ in found.values())
+    assert found["repeated_words"][0] > 2 * found["word_count"][0]  # windows are dearer than words
+    bad = quality.measure(docs).agg(*[(F.count_if(~r.holds) / F.count("*")).alias(r.name) for r in rules]).first()
+    assert {name: share for name, (_, share) in found.items()} == bad.asDict()
+    assert {share for _, _, share in quality.estimate(docs.limit(0), rules)} == {0.0}
