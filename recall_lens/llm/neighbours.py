@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -84,17 +85,17 @@ class Curves:
         return out
 
 
+_FOUND = "query_id long, rank int, vec_id long, score double"
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """vec_id and v (array of double) of rows whose vector takes part.
 
-    Left out: null vec_id, null or empty vectors, null or non-finite components, zero vectors, and vectors that are
-    not of the most common length (the smaller of equally common ones).
+    Left out: null vec_id, null or empty vectors, null or non-finite components, and zero vectors.
     """
     v = F.col("embedding").cast("array<double>")
     sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).select(F.col("vec_id").cast("long"), v.alias("v")).where(sound)
-    sizes = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
-    return rows.where(F.size("v") == (sizes[0].size if sizes else 0))
+    return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).select(F.col("vec_id").cast("long"), v.alias("v")).where(sound)
 
 
 def _matrix(column: pa.ListArray) -> np.ndarray:
@@ -112,19 +113,28 @@ def search(vectors: DataFrame, is_query, k: int = 10, block: int = BLOCK, reach:
 
     `vectors` has vec_id and embedding; `is_query` is a condition on vec_id. A query is no candidate of its own; rows
     that repeat a vec_id are told apart by their vectors only, so equal rows count once. Ties go to the smaller vec_id.
-    Fewer than `k` candidates give fewer rows, no queries none.
+    Fewer than `k` candidates give fewer rows, no queries none. Between vectors of different lengths there is no distance:
+    each length is searched by itself.
     """
     spark = vectors.sparkSession
     staging = Staging(spark, "neighbours")
     rows = staging.table(usable(vectors).dropDuplicates(), "rows")
+    sizes = sorted(r[0] for r in rows.select(F.size("v")).distinct().collect())
+    found = [_search(rows.where(F.size("v") == n), staging, f"-{n}", is_query, k, block, reach) for n in sizes]
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], _FOUND)
+
+
+def _search(rows: DataFrame, staging: Staging, of: str, is_query, k: int, block: int, reach: float) -> DataFrame:
+    """`search` among distinct rows of vectors of one length; `of` ends the names of its tables."""
+    spark = rows.sparkSession
     first = Window.partitionBy("v").orderBy("vec_id")
     ranked = rows.withColumn("r_", F.row_number().over(first)).where(F.col("r_") <= k + 1)
-    members = staging.table(ranked.withColumn("point", F.min("vec_id").over(Window.partitionBy("v"))).drop("r_"), "members")
+    members = staging.table(ranked.withColumn("point", F.min("vec_id").over(Window.partitionBy("v"))).drop("r_"), f"members{of}")
     points = members.where("vec_id = point").select("point", "v")
     asked = rows.where(is_query).join(points, "v").select("vec_id", "point")
-    asked = staging.table(asked.withColumnRenamed("vec_id", "query_id"), "asked")
+    asked = staging.table(asked.withColumnRenamed("vec_id", "query_id"), f"asked{of}")
     about = points.agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("most"), F.max(F.size("v")).alias("size")).first()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    empty = spark.createDataFrame([], _FOUND)
     if not about.n:
         return empty
     curves, radius = Curves(about["size"]), math.sqrt(about.most)
@@ -137,9 +147,9 @@ def search(vectors: DataFrame, is_query, k: int = 10, block: int = BLOCK, reach:
 
     keyed = points.mapInArrow(place, "curve int, key long, point long, v array<double>")
     n_blocks = CURVES * max(1, -(-about.n // block))
-    blocks = staging.table(keyed.repartitionByRange(n_blocks, "curve", "key", "point").withColumn("block", F.spark_partition_id()).drop("key"), "blocks")
+    blocks = staging.table(keyed.repartitionByRange(n_blocks, "curve", "key", "point").withColumn("block", F.spark_partition_id()).drop("key"), f"blocks{of}")
     query_points = asked.select("point").distinct()
-    queries = staging.table(blocks.join(query_points, "point", "left_semi"), "queries")
+    queries = staging.table(blocks.join(query_points, "point", "left_semi"), f"queries{of}")
     sample = queries.where("curve = 0").orderBy(F.xxhash64("point")).limit(MEASURED).select("point", "v").collect()
     if not sample:
         return empty
@@ -201,4 +211,4 @@ def exact(vectors: DataFrame, query_ids: list[int], k: int = 10) -> dict[int, li
     """True neighbours of a few queries, for measuring recall: (distance, vec_id) nearest first."""
     rows = [(r.vec_id, np.array(r.v)) for r in usable(vectors).dropDuplicates().collect()]
     by = dict(rows)
-    return {q: sorted((float(np.sqrt(((v - by[q]) ** 2).sum())), i) for i, v in rows if i != q)[:k] for q in query_ids if q in by}
+    return {q: sorted((float(np.sqrt(((v - by[q]) ** 2).sum())), i) for i, v in rows if i != q and len(v) == len(by[q]))[:k] for q in query_ids if q in by}

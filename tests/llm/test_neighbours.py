@@ -50,3 +50,13 @@ def test_few_or_no_vectors(spark):
     assert neighbours.search(two.limit(0), F.col("vec_id") == 0).count() == 0
     assert neighbours.search(two, F.col("vec_id") == 9).count() == 0
     assert neighbours.search(two.limit(1), F.col("vec_id") == 0).count() == 0
+
+
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=2 + i % 2).tolist()) for i in range(60)] + [(61, [1.0] * 5)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = results(neighbours.search(vectors, F.col("vec_id") % 10 < 2).collect())
+    asked = [i for i, v in rows if i % 10 < 2]
+    assert got == {q: n for q, n in neighbours.exact(vectors, asked).items() if n}
+    assert 61 not in got and len(got) == 12
