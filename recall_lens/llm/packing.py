@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recall_lens.llm.staging import Staging, small_batches
-from recall_lens.llm.text import batch, texts_of
+from recall_lens.llm.text import batch
 from recall_lens.llm.vocabulary import WordIds, loaded, tokenizer_path
 
 CAPACITY = 4096
@@ -117,7 +117,7 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None,
         words = loaded(WordIds, path)
         for b in batches:
             rows = []
-            for doc, ids in zip(b.column(0).to_pylist(), words.encode(texts_of(b.column(1))), strict=True):
+            for doc, ids in zip(b.column(0).to_pylist(), words.encode(b.column(1)), strict=True):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]

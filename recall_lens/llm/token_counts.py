@@ -61,11 +61,13 @@ def count_tokens(docs: DataFrame, limit: int = LIMIT, tokenizer: str | None = No
         for b in batches:
             texts = [x or "" for x in b.column(1).to_pylist()]
             cut = [(k, p) for k, t in enumerate(texts) for p in parts(t, GROUP_BYTES // 4, counter)]
-            counts = [0] * len(texts)
-            for i, j in groups((len(p) for _, p in cut), GROUP_BYTES):
+            counts, sizes, of_part = [0] * len(texts), [0] * len(texts), [len(p.encode()) for _, p in cut]
+            for (k, _), n in zip(cut, of_part, strict=True):
+                sizes[k] += n
+            for i, j in groups(of_part, GROUP_BYTES):
                 for (k, _), n in zip(cut[i:j], counter.count([p for _, p in cut[i:j]]), strict=True):
                     counts[k] += n
-            yield batch(_ARROW, [b.column(0), [len(t.encode()) for t in texts], counts])
+            yield batch(_ARROW, [b.column(0), sizes, counts])
 
     counted = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lengths, "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
