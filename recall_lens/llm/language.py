@@ -12,6 +12,7 @@ against all languages in step, in chunks of CHUNK symbols; a phrase ends with it
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 
 from recall_lens.llm.staging import Carried, small_batches
 from recall_lens.llm.text import batch
+from recall_lens.llm.worker import kept
 
 #: Characters of labelled text that are learnt of a language at most, and from one document at most.
 SAMPLE_CHARS = 65_536
@@ -55,30 +57,31 @@ def code_points(text: str) -> np.ndarray:
 
 def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
     """Transitions (states, width) of the automaton of all substrings; -1 where there is none, state 0 is the start."""
-    goes, link, length, last = [[-1] * width], [-1], [0], 0
+    blank = array("i", [-1]) * width
+    goes, link, length, last = blank[:], [-1], [0], 0  # the transitions of a state are `width` neighbours
     for c in symbols:
-        state = len(goes)
-        goes.append([-1] * width)
+        state = len(link)
+        goes += blank
         length.append(length[last] + 1)
         link.append(0)
         p = last
-        while p >= 0 and goes[p][c] < 0:
-            goes[p][c] = state
+        while p >= 0 and goes[p * width + c] < 0:
+            goes[p * width + c] = state
             p = link[p]
         if p >= 0:
-            q = goes[p][c]
+            q = goes[p * width + c]
             if length[q] != length[p] + 1:
-                copy = len(goes)
-                goes.append(goes[q][:])
+                copy = len(link)
+                goes += goes[q * width : (q + 1) * width]
                 length.append(length[p] + 1)
                 link.append(link[q])
-                while p >= 0 and goes[p][c] == q:
-                    goes[p][c] = copy
+                while p >= 0 and goes[p * width + c] == q:
+                    goes[p * width + c] = copy
                     p = link[p]
                 link[q] = q = copy
             link[state] = q
         last = state
-    return np.array(goes, np.int32)
+    return np.frombuffer(goes, np.int32).reshape(-1, width)
 
 
 @dataclass(frozen=True)
@@ -139,16 +142,21 @@ class Languages:
         self.__dict__.pop("_held", None)
         width, tables, starts, at = self.pad + 1, [], [], 0
         for _, text in self.samples[group.start : group.stop]:
-            goes = suffix_automaton(self.symbols(text).tolist(), width)
-            fresh = np.maximum(goes[0], 0)  # where a phrase goes that starts with the symbol
-            new = goes < 0
-            new[0] = True
-            table = (np.where(goes < 0, fresh, goes).astype(np.int64) + at) * width * 2 + new
-            table[:, self.pad] = (np.arange(len(goes)) + at) * width * 2
+            # an automaton has two states a symbol at most, so 32 bits hold the places of a group
+            table = suffix_automaton(self.symbols(text).tolist(), width).copy()
+            fresh = np.maximum(table[0], 0)  # where a phrase goes that starts with the symbol
+            for rows in (table[i : i + 4096] for i in range(0, len(table), 4096)):
+                new = rows < 0
+                np.copyto(rows, fresh, where=new)
+                rows += at
+                rows *= width * 2
+                rows += new
+            table[0] |= 1
+            table[:, self.pad] = (np.arange(len(table), dtype=np.int32) + at) * (width * 2)
             starts.append(at * width)
-            at += len(goes)
-            tables.append(table.astype(np.int32))
-        self.__dict__["_held"] = group, (np.concatenate(tables).ravel(), np.array(starts, np.int32))
+            at += len(table)
+            tables.append(table)
+        self.__dict__["_held"] = group, (np.concatenate(tables).ravel() if len(tables) > 1 else tables[0].ravel(), np.array(starts, np.int32))
         return self.__dict__["_held"][1]
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -240,9 +248,6 @@ def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
-_LOADED: dict[Languages, Languages] = {}
-
-
 def identify(docs: DataFrame, languages: Languages, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, lang_pred, score (0 to 1), bits_per_symbol, n_symbols and the columns of `carry` of every row of `docs`
     (doc_id, text).
@@ -257,8 +262,7 @@ def identify(docs: DataFrame, languages: Languages, carry: tuple[str, ...] = ())
     names_ = [*_ARROW.names, *carried.inner()]
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        model = _LOADED.setdefault(model, model)  # automata are built once a worker
+        model = kept("language", shared.value, lambda: shared.value)  # automata are built once a worker
         for b in batches if len(model.groups) < 2 else _gathered(batches):
             names, score, bits, size = model.judge([x or "" for x in b.column(1).to_pylist()])
             own = batch(_ARROW, [b.column(0), names, score, bits, size])

@@ -22,6 +22,7 @@ from xxhash import xxh3_64_intdigest
 
 from recall_lens.llm.staging import Carried, small_batches
 from recall_lens.llm.text import batch, texts_of
+from recall_lens.llm.worker import kept
 
 #: Labelled rows that are learnt from at most, chosen by hash of doc_id.
 LABELLED_ROWS = 8_000
@@ -152,9 +153,6 @@ class _Weights(dict):
         return found
 
 
-_LOADED: dict[int, _Weights] = {}
-
-
 def grade(docs: DataFrame, model: Ordinal, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, severity (expected grade, 0 to the highest), p_toxic (P(grade > 0)), toxic (p_toxic of at
     least TOXIC, by words that speak for it) and the columns of `carry` of every row of `docs` (doc_id, text).
@@ -170,11 +168,8 @@ def grade(docs: DataFrame, model: Ordinal, carry: tuple[str, ...] = ()) -> DataF
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        key = hash((tuple(model.weights.items()), model.thresholds))
-        if key not in _LOADED:
-            _LOADED.clear()
-            _LOADED[key] = _Weights(model.weights)
-        get = _LOADED[key].__getitem__
+        key = tuple(model.weights.items()), model.thresholds
+        get = kept("toxicity", key, lambda: _Weights(model.weights)).__getitem__
         for b in batches:
             scores = []
             for text in texts_of(b.column(1)):
