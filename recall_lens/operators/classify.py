@@ -66,7 +66,7 @@ def cause_codes(prepared: DataFrame) -> DataFrame:
 def feature_table(scored: DataFrame) -> DataFrame:
     """The feature matrix and label, one row per device."""
     prepared = prepare(scored)
-    coded = salted_join(prepared, cause_codes(prepared), ["f_cause"], [KEY], "left")
+    coded = salted_join(prepared, cause_codes(prepared), ["f_cause"], [KEY], "left", bounded=True)
     return coded.select(
         KEY,
         F.col("f_rpss").alias("rpss"),
@@ -105,7 +105,7 @@ class RecallClassifier:
         """Feature inputs; a cause not seen in training counts as 'Other', and as a number of its own if that is new too."""
         other = F.col("root_cause_encoded")
         fallback = self.codes.agg(F.coalesce(F.max(F.when(F.col("f_cause") == "Other", other)), F.max(other) + 1)).first()[0]
-        coded = salted_join(prepare(scored), self.codes, ["f_cause"], [KEY], "left")
+        coded = salted_join(prepare(scored), self.codes, ["f_cause"], [KEY], "left", bounded=True)
         return coded.withColumn("f_root_cause_encoded", F.coalesce("root_cause_encoded", F.lit(fallback)))
 
     def predict(self, scored: DataFrame) -> DataFrame:
@@ -149,7 +149,7 @@ def train(
     if usable.isEmpty():
         raise ValueError("no row has finite features")
     codes = stage(cause_codes(usable), "cause-codes")
-    usable = salted_join(usable, codes, ["f_cause"], [KEY]).withColumnRenamed("root_cause_encoded", "f_root_cause_encoded")
+    usable = salted_join(usable, codes, ["f_cause"], [KEY], bounded=True).withColumnRenamed("root_cause_encoded", "f_root_cause_encoded")
     assembler = VectorAssembler(inputCols=[f"f_{c}" for c in FEATURES], outputCol="features")
     parts = stratified_split(usable, test_size)
     estimator = _estimator(model_type, trees, min(MOST_BINS, max(32, codes.count() + 2)))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from recall_lens.operators.integration import observed_sets, recall_tuples
 from recall_lens.operators.rollup import rollup_exact_of, rollup_of
-from recall_lens.operators.skew import stage
+from recall_lens.operators.skew import stage, unbroadcast
 from recall_lens.sinks.bucketed import BucketedTable
 from recall_lens.sinks.manifest import Commit
 from recall_lens.sources.testdata import Feeds
@@ -41,7 +41,7 @@ class RollupState:
         days = found.groupBy("number").agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
         count = lambda kind: F.count(F.when(F.col("kind") == kind, 1)).alias(f"n_{kind}")
         counts = new.groupBy("number").agg(count("report"), count("maker"))
-        facts = days.join(counts, "number", "left").fillna(0, ["n_report", "n_maker"])
+        facts = days.join(unbroadcast(counts), "number", "left").fillna(0, ["n_report", "n_maker"])
         facts = facts.withColumns({"kind": F.lit(FACTS), "x": F.lit(None).cast("string")})
         rows = facts.unionByName(new, allowMissingColumns=True)
         return self.sets.append(rows.select("number", "kind", "x", "first_day", "last_day", "n_report", "n_maker"), last)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recall_lens.functions.display import NO_NAME, first_name, not_blank
-from recall_lens.operators.skew import salted_join
+from recall_lens.operators.skew import salted_join, unbroadcast
 from recall_lens.sources.testdata import Feeds
 
 UNKNOWN_DEVICE = "Unknown Device"
@@ -68,7 +68,7 @@ def device_names(feeds: Feeds, fallback: str | None = NO_NAME, only: DataFrame |
             F.max(not_blank(F.col("DEVICENAME")).isNull()).alias("pc_blank"),
         )
     )
-    codes = by_code.join(classes, "code", "left")
+    codes = by_code.join(unbroadcast(classes), "code", "left")
     pc_open = F.coalesce("pc_blank", F.lit(True))
     k_open = (F.coalesce("k", F.lit(0)) == 0) | (F.col("k_blank") > 0)
 
@@ -125,7 +125,7 @@ def lookup_names(published: DataFrame, asked: DataFrame) -> DataFrame:
 def with_device_names(scored: DataFrame, names: DataFrame, fallback: Column | None = None) -> DataFrame:
     """Attach names; devices without one show the fallback."""
     missing = F.lit(NO_NAME) if fallback is None else fallback
-    return scored.join(names, "PMA_PMN_NUM", "left").withColumn("device_name", F.coalesce("device_name", missing))
+    return scored.join(unbroadcast(names), "PMA_PMN_NUM", "left").withColumn("device_name", F.coalesce("device_name", missing))
 
 
 def name_coverage(named: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from recall_lens.functions.display import NO_NAME
 from recall_lens.operators.names import with_device_names
 from recall_lens.operators.scoring import SCORED_COLUMNS
+from recall_lens.operators.skew import unbroadcast
 from recall_lens.operators.top import highest
 
 KEY = "PMA_PMN_NUM"
@@ -46,7 +47,7 @@ def upsert_scores(target: DataFrame, source: DataFrame, scored_at: dt.datetime)
     fresh = dedup_staging(source.select(*SCORED_COLUMNS)).withColumn(
         "last_scored", F.lit(scored_at.isoformat(sep=" ")).cast("timestamp_ntz")
     )
-    return target.join(fresh, KEY, "left_anti").select(*fresh.columns).unionByName(fresh)
+    return target.join(unbroadcast(fresh), KEY, "left_anti").select(*fresh.columns).unionByName(fresh)
 
 
 def scored_view(published: DataFrame) -> DataFrame:

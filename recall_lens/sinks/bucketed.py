@@ -56,7 +56,7 @@ class BucketedTable:
             return rows
         held = held.select(*[F.col(c).alias(f"held_{c}") for c in self.key])
         same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"held_{c}")) for c in self.key])
-        return rows.join(held, same, "left_anti")
+        return rows.join(held.hint("merge"), same, "left_anti")
 
     def _write(self, rows: DataFrame) -> dict[str, list[str]]:
         folder = self.store.new_folder("buckets")

@@ -4,8 +4,10 @@ import pytest
 
 from compare import same_rows
 from feed_rows import random_rows, spark_feeds
+from recall_lens.operators import rollup
 from recall_lens.operators.incremental import RollupState
 from recall_lens.operators.rollup import device_rollup, device_rollup_exact
+from recall_lens.operators.skew import stage
 from recall_lens.sinks.manifest import Conflict
 
 
@@ -31,6 +33,26 @@ def test_loads_equal_one(spark, tmp_path, seed, hot):
     same_rows(state.rollup(feeds), before)
 
 
+def test_no_step_broadcasts_a_growing_table(spark, tmp_path, monkeypatch):
+    feeds, plans = spark_feeds(spark, random_rows(25)), {}
+
+    def noted(df, label):
+        plans[label] = df._jdf.queryExecution().sparkPlan().toString()
+        return stage(df, label)
+
+    monkeypatch.setattr(rollup, "stage", noted)
+    noted(device_rollup(feeds), "rollup")
+    noted(device_rollup_exact(feeds), "exact")
+    state = RollupState(spark, f"{tmp_path}/state", buckets=4)
+    state.add_events(feeds.maude)
+    state.add_recalls(feeds.recall)
+    noted(state.sets.unseen(state.sets.read()), "unseen")
+    noted(state.recalls.unseen(state.recalls.read()), "unseen recalls")
+    assert {"rollup", "exact", "device-facts", "owned-sets", "shared-sets", "unseen"} <= set(plans)
+    assert [label for label, plan in plans.items() if "Broadcast" in plan] == []
+    assert max(plan.count("\n") for plan in plans.values()) < 250
+
+
 def test_held_rows_are_not_rewritten(spark, tmp_path):
     rows = random_rows(23)
     state = RollupState(spark, f"{tmp_path}/state", buckets=4)

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from recall_lens.operators.skew import hot_salted_join, hot_values, salted_join, shared_folder, spread_rank, spread_width, stage
+from recall_lens.operators.skew import hot_salted_join, hot_values, salted_join, shared_folder, spread_rank, spread_width, stage, unbroadcast
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -14,6 +14,23 @@ def test_salted_join_equals_join(spark, how):
     assert sorted(salted_join(many, few, ["k"], ["id"], how, spread=6).collect(), key=str) == expected
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+@pytest.mark.parametrize("spread", [1, 6])
+def test_a_side_that_grows_is_never_broadcast(spark, spread):
+    many = stage(spark.range(400).selectExpr("id % 5 AS k", "id"), "many")
+    few = stage(spark.range(5).selectExpr("id AS k", "id AS v"), "few")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        assert "Broadcast" not in plan_of(salted_join(many, few, ["k"], ["id"], how, spread=spread))
+    assert "BroadcastHashJoin" in plan_of(salted_join(many, few, ["k"], ["id"], spread=spread, bounded=True))
+    hot = stage(hot_values(many, "k"), "hot")
+    joined = plan_of(hot_salted_join(many, few, ["k"], hot, ["id"], spread=spread))
+    assert joined.count("SortMergeJoin") == 1  # the list of hot values, at most 100, may be broadcast
+    assert "Broadcast" not in plan_of(many.join(unbroadcast(few), "k"))
+
+
 def test_hot_key_is_dealt_over_tasks(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
