@@ -96,7 +96,7 @@ def device_names(feeds: Feeds, fallback: str | None = NO_NAME, only: DataFrame |
         .agg(F.max("name").alias("device_name"))
     )
     if only is not None:
-        best = asked.withColumnRenamed("number", "PMA_PMN_NUM").join(best, "PMA_PMN_NUM", "left")
+        best = asked.withColumnRenamed("number", "PMA_PMN_NUM").join(unbroadcast(best), "PMA_PMN_NUM", "left")
     if fallback is None:
         return best
     return best.withColumn("device_name", F.coalesce("device_name", F.lit(fallback)))
@@ -119,7 +119,7 @@ def lookup_names(published: DataFrame, asked: DataFrame) -> DataFrame:
     if len(few) <= MOST_ASKED:
         wanted = [F.col(KEY) == n for n in few if n is not None]
         published = published.filter(reduce(lambda a, b: a | b, wanted, F.lit(False)))
-    return numbers.join(published, KEY, "left")
+    return numbers.join(unbroadcast(published), KEY, "left")
 
 
 def with_device_names(scored: DataFrame, names: DataFrame, fallback: Column | None = None) -> DataFrame:

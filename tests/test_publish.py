@@ -156,3 +156,10 @@ def test_what_is_kept_follows_the_files(spark, tmp_path):
     after = skew.folder_state(spark, str(tmp_path))
     assert before != after == skew.folder_state(spark, str(tmp_path))
     assert skew.folder_state(spark, f"{tmp_path}/absent") == "absent"
+
+
+def test_names_are_looked_up_without_a_broadcast(spark):
+    table = skew.stage(spark.range(1000).selectExpr("concat('K', id) AS PMA_PMN_NUM", "concat('name ', id) AS device_name"), "names")
+    found = lookup_names(table, table.select("PMA_PMN_NUM").unionByName(spark.createDataFrame([("unheard",)], "PMA_PMN_NUM string")))
+    assert "Broadcast" not in found._jdf.queryExecution().sparkPlan().toString()
+    assert found.count() == 1001 and found.filter("device_name IS NULL").count() == 1

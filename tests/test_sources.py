@@ -10,7 +10,9 @@ from pyspark.sql import types as T
 from recall_lens import schemas
 from recall_lens.functions.cleaning import clean_date, clean_json_value, clean_text, to_number, truncate_columns
 from recall_lens.operators.rollup import device_rollup
+from recall_lens.operators.skew import stage
 from recall_lens.plans.ingest import cleaned_feeds, ingest
+from recall_lens.sources import testdata
 from recall_lens.sources.contracts import bounded_text_columns, schema_contract
 from recall_lens.sources.delimited import (
     CORRUPT,
@@ -192,3 +194,18 @@ def test_ingest_twice_then_roll_up(spark, tmp_path):
     assert len(row) == 1 and row[0]["PMA_PMN_NUM"] == "P1"
     assert (row[0]["recall_count"], row[0]["total_adverse_events"], row[0]["device_class"]) == (1, 2, 3.0)
     assert row[0]["root_cause_description"] == "Software design"
+
+
+def test_recalls_are_joined_without_broadcasting_orders(spark):
+    day = dt.datetime(2024, 1, 2)
+    lines = [(1, 2, "R", 0.1), (1, 3, "R", 0.1), (2, 4, "N", 0.1), (3, 5, "R", 0.01), (9, 6, "R", 0.1), (None, 7, "R", 0.1)]
+    orders = [(1, "1-URGENT", "O", day), (1, "4-LOW", "F", None), (2, "2-HIGH", "O", day), (3, "2-HIGH", "O", day), (None, "5", "O", day)]
+    tables = {
+        "lineitem": stage(spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_returnflag string, l_discount double"), "lines"),
+        "orders": stage(spark.createDataFrame(orders, "o_orderkey long, o_orderpriority string, o_orderstatus string, o_orderdate timestamp"), "orders"),
+    }
+    recalls = testdata.recall(tables)
+    assert "Broadcast" not in recalls._jdf.queryExecution().sparkPlan().toString()
+    found = {(r.cfres_id, r.k_numbers[0], r.recall_status, r.root_cause_description) for r in recalls.collect()}
+    assert recalls.count() == len(found) == 4
+    assert found == {("1", n, s, c) for n in ("K000002", "P000003") for s, c in (("O", "Software design"), ("F", None))}
