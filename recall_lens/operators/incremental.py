@@ -37,7 +37,8 @@ class RollupState:
         last = self.sets.store.current()
         found = stage(observed_sets(load), "load-sets")
         values = found.filter(F.col("x").isNotNull()).select("number", "kind", "x")
-        new = stage(self.sets.unseen(values, last), "new-values")
+        new = self.sets.unseen(values, last)
+        new = new if new is values else stage(new, "new-values")
         days = found.groupBy("number").agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
         count = lambda kind: F.count(F.when(F.col("kind") == kind, 1)).alias(f"n_{kind}")
         counts = new.groupBy("number").agg(count("report"), count("maker"))
@@ -50,7 +51,7 @@ class RollupState:
         """Take in a load of recalls."""
         last = self.recalls.store.current()
         found = stage(recall_tuples(load), "load-recalls")
-        return self.recalls.append(stage(self.recalls.unseen(found, last), "new-recalls"), last)
+        return self.recalls.append(self.recalls.unseen(found, last), last)
 
     def event_facts(self) -> DataFrame:
         """Per device number: distinct reports and makers, first and last event; from one short row a number and load."""

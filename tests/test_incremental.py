@@ -4,7 +4,7 @@ import pytest
 
 from compare import same_rows
 from feed_rows import random_rows, spark_feeds
-from recall_lens.operators import rollup
+from recall_lens.operators import incremental, rollup
 from recall_lens.operators.incremental import RollupState
 from recall_lens.operators.rollup import device_rollup, device_rollup_exact
 from recall_lens.operators.skew import stage
@@ -53,6 +53,29 @@ def test_no_step_broadcasts_a_growing_table(spark, tmp_path, monkeypatch):
     assert max(plan.count("\n") for plan in plans.values()) < 250
 
 
+def test_steps_stay_small_plans(spark, monkeypatch):
+    """The driver plans a step again after each of its shuffles, so it is the largest plan that fills its heap."""
+    plans = {}
+
+    def noted(df, label):
+        plans[label] = df._jdf.queryExecution().sparkPlan().toString()
+        return stage(df, label)
+
+    monkeypatch.setattr(rollup, "stage", noted)
+    noted(device_rollup(spark_feeds(spark, random_rows(26))), "rollup")
+    assert max(plan.count("Join") for plan in plans.values()) <= 6
+    assert "ShuffledHashJoin" in plans["owned-sets"]
+
+
+def test_a_load_into_an_empty_state_is_staged_once(spark, tmp_path, monkeypatch):
+    load, staged = spark_feeds(spark, random_rows(27)), []
+    monkeypatch.setattr(incremental, "stage", lambda df, label: staged.append(label) or stage(df, label))
+    state = RollupState(spark, f"{tmp_path}/state", buckets=4)
+    state.add_events(load.maude)
+    state.add_recalls(load.recall)
+    assert staged == ["load-sets", "load-recalls"]
+
+
 def test_held_rows_are_not_rewritten(spark, tmp_path):
     rows = random_rows(23)
     state = RollupState(spark, f"{tmp_path}/state", buckets=4)
