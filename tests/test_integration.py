@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 
 from compare import duck_records, same_rows
 from feed_rows import LITERAL_VIEW, duck_feeds, random_rows, spark_feeds
-from recall_lens.operators import skew
+from recall_lens.operators import integration, skew
 from recall_lens.operators.integration import integrated_view, rollup_from_view
 from recall_lens.operators.names import device_names, names_from_view
 from recall_lens.operators.rollup import device_rollup, device_rollup_exact
@@ -19,6 +20,33 @@ def test_view_equals_its_definition(spark, seed, hot):
     same_rows(view, duck_records(duck_feeds(rows), LITERAL_VIEW))
 
 
+@pytest.mark.parametrize("seed, width", [(10, None), (11, 4)])
+def test_view_is_the_same_when_codes_are_cut_into_many_cells(spark, monkeypatch, seed, width):
+    monkeypatch.setattr(integration, "SLICE", 3)
+    monkeypatch.setattr(integration, "MADE", 200)
+    if width:
+        monkeypatch.setattr(skew, "spread_width", lambda session: width)
+    rows = random_rows(seed, hot=True)
+    same_rows(integrated_view(spark_feeds(spark, rows)), duck_records(duck_feeds(rows), LITERAL_VIEW))
+
+
+def test_pairs_of_the_view_are_never_shuffled_or_sorted(spark):
+    """Nothing above the join that makes the pairs moves or sorts rows, so disk follows the feeds and not the pairs."""
+    before = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+    view = integrated_view(spark_feeds(spark, random_rows(2, hot=True)))
+    lines = view._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = lambda line: len(re.match(r"[\s:|+*()\d-]*", line).group())
+    made = [i for i, line in enumerate(lines) if re.search(r"SortMergeJoin(\(.*?\))? \[_code#\d+L?, _i#\d+, _j#\d+\],", line)]
+    assert made
+    above, least = [], depth(lines[made[0]])
+    for line in reversed(lines[: made[0]]):
+        if depth(line) < least:
+            above.append(line)
+            least = depth(line)
+    assert len(above) > 5 and not [line for line in above if "Exchange" in line or "Sort " in line or "SortMergeJoin" in line]
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == before
+
+
 @pytest.mark.parametrize("seed, hot", [(3, False), (4, True), (5, False)])
 def test_linear_rollup_equals_summed_view(spark, seed, hot):
     feeds = spark_feeds(spark, random_rows(seed, hot=hot))
