@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import time
+from pathlib import Path
 
 import pytest
 
@@ -30,6 +32,34 @@ def test_view_is_the_same_when_codes_are_cut_into_many_cells(spark, monkeypatch,
     same_rows(integrated_view(spark_feeds(spark, rows)), duck_records(duck_feeds(rows), LITERAL_VIEW))
 
 
+@pytest.mark.parametrize("seed, width", [(12, None), (13, 3)])
+def test_view_is_the_same_when_values_are_looked_through_in_rounds(spark, monkeypatch, seed, width):
+    monkeypatch.setattr(integration, "ROUND", 10)
+    monkeypatch.setattr(integration, "SLICE", 3)
+    if width:
+        monkeypatch.setattr(skew, "spread_width", lambda session: width)
+    rows = random_rows(seed, hot=True)
+    same_rows(integrated_view(spark_feeds(spark, rows)), duck_records(duck_feeds(rows), LITERAL_VIEW))
+
+
+def test_steps_of_the_view_leave_neither_shuffles_nor_sets(spark):
+    """What a step shuffles is gone when the next begins, and the sets are deleted: disk holds the largest step only."""
+    setting, shared = spark.conf.get(skew.REMOVED, None), Path(spark.conf.get("spark.checkpoint.dir"))
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    kept = lambda: set(re.findall(r"/(shuffle_\d+)_", manager.getAllFiles().mkString("\n")))
+    feeds = spark_feeds(spark, random_rows(14, hot=True))
+    before, staged = kept(), set(shared.glob("staged/*/*"))
+    view = integrated_view(feeds)
+    few = 4  # of the numbers that are collected: the tasks, and the values of each kind
+    ends = time.monotonic() + 10  # files are removed in the background
+    while len(kept() - before) > few and time.monotonic() < ends:
+        time.sleep(0.2)
+    assert len(kept() - before) <= few
+    assert not [p for p in set(shared.glob("staged/*/*")) - staged if p.name.startswith("observed-sets")]
+    assert "observed-sets" not in view._jdf.queryExecution().toString()
+    assert spark.conf.get(skew.REMOVED, None) == setting
+
+
 def test_pairs_of_the_view_are_never_shuffled_or_sorted(spark):
     """Nothing above the join that makes the pairs moves or sorts rows, so disk follows the feeds and not the pairs."""
     before = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
